@@ -1,0 +1,322 @@
+"""Cross-domain tables on top of the typed ones."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from rxlake.functions.columns import (
+    exact_avg,
+    exact_sum,
+    guarded_ratio,
+    price_avg,
+    share_pct,
+)
+from rxlake.operators.keyed import ascending, first_per_key
+
+HIGH_COST = "high_cost_top_10pct"
+STANDARD = "standard"
+
+
+# --- drug cost journey -------------------------------------------------------------------
+
+
+def latest_price(pricing: DataFrame) -> DataFrame:
+    """The price with the latest effective date per drug."""
+    picked = pricing.select(
+        "ndc",
+        "nadac_per_unit",
+        "pricing_unit",
+        "pharmacy_type",
+        "rate_classification",
+        F.col("effective_date").alias("nadac_effective_date"),
+    )
+    ties = ["nadac_per_unit", "pricing_unit", "pharmacy_type", "rate_classification"]
+    return first_per_key(
+        picked, ["ndc"], [F.col("nadac_effective_date").desc_nulls_last(), *ascending(ties)]
+    )
+
+
+def claims_by_drug(fills: DataFrame) -> DataFrame:
+    """Fills summed up per drug code, unreadable codes together under NULL."""
+    return fills.groupBy("ndc").agg(
+        F.count("*").alias("total_claims"),
+        F.count_distinct("beneficiary_id").alias("unique_patients"),
+        exact_sum("total_rx_cost").alias("total_gross_cost"),
+        exact_sum("patient_pay_amount").alias("total_patient_pay"),
+        exact_sum("payer_paid_amount").alias("total_payer_paid"),
+        exact_avg("total_rx_cost").alias("avg_claim_cost"),
+        exact_avg("patient_pay_amount").alias("avg_patient_pay"),
+        exact_avg("quantity_dispensed", 3).alias("avg_quantity"),
+        F.avg("days_supply").alias("avg_days_supply"),
+    )
+
+
+def drug_cost_journey(fills: DataFrame, dim_drug: DataFrame, pricing: DataFrame) -> DataFrame:
+    """Acquisition price, claim cost and who paid it, per drug seen in the fills."""
+    names = dim_drug.select(
+        "ndc", "brand_name", "generic_name", "labeler_name", "dosage_form", "route", "product_type"
+    )
+    joined = (
+        claims_by_drug(fills).join(names, "ndc", "left").join(latest_price(pricing), "ndc", "left")
+    )
+    # A ratio of means, not a mean of ratios.
+    unit_cost = guarded_ratio("avg_claim_cost", "avg_quantity")
+    return joined.withColumn("cost_per_unit_on_claim", unit_cost).select(
+        "ndc",
+        "brand_name",
+        "generic_name",
+        "labeler_name",
+        "dosage_form",
+        "route",
+        "product_type",
+        "rate_classification",
+        "total_claims",
+        "unique_patients",
+        "nadac_per_unit",
+        "cost_per_unit_on_claim",
+        (F.col("cost_per_unit_on_claim") - F.col("nadac_per_unit")).alias(
+            "acquisition_to_claim_spread"
+        ),
+        "avg_claim_cost",
+        "avg_patient_pay",
+        share_pct("total_patient_pay", "total_gross_cost").alias("patient_cost_share_pct"),
+        "total_gross_cost",
+        "total_patient_pay",
+        "total_payer_paid",
+        "avg_days_supply",
+    )
+
+
+def top_drugs_by_spend(journey: DataFrame, k: int = 15) -> DataFrame:
+    return journey.orderBy(
+        F.col("total_gross_cost").desc_nulls_last(), F.col("ndc").asc_nulls_first()
+    ).limit(k)
+
+
+def cross_domain_count(journey: DataFrame) -> DataFrame:
+    """How many drugs have both a price and claims."""
+    return journey.filter(
+        F.col("nadac_per_unit").isNotNull() & F.col("total_claims").isNotNull()
+    ).agg(F.count("*").alias("n"))
+
+
+# --- patient utilization -----------------------------------------------------------------
+
+
+def patient_fill_summary(fills: DataFrame) -> DataFrame:
+    """Fills summed up per patient."""
+    return fills.groupBy("beneficiary_id").agg(
+        F.count("*").alias("total_rx_fills"),
+        F.count_distinct("ndc").alias("unique_drugs"),
+        exact_sum("total_rx_cost").alias("total_rx_spend"),
+        exact_sum("patient_pay_amount").alias("total_patient_pay"),
+        exact_sum("payer_paid_amount").alias("total_payer_paid"),
+        F.avg("days_supply").alias("avg_days_supply"),
+        F.sum("days_supply").alias("total_days_supply"),
+        F.min("service_date").alias("first_fill_date"),
+        F.max("service_date").alias("last_fill_date"),
+        F.count_distinct("service_year").alias("active_years"),
+    )
+
+
+def patient_utilization(fills: DataFrame, patients: DataFrame) -> DataFrame:
+    """Prescription pattern, conditions and medical spend per patient with fills.
+
+    Prescription spend covers all years in the fills, medical spend the one summary year of
+    the patient record.
+    """
+    medical = [
+        F.coalesce(F.col(c), F.lit(0.0))
+        for c in ("inpatient_reimbursement", "outpatient_reimbursement", "carrier_reimbursement")
+    ]
+    joined = (
+        patient_fill_summary(fills)
+        .join(patients, "beneficiary_id", "inner")
+        .withColumns(
+            {
+                "observation_days": F.datediff("last_fill_date", "first_fill_date"),
+                "total_medical_spend": medical[0] + medical[1] + medical[2],
+            }
+        )
+    )
+    all_spend = F.col("total_rx_spend") + F.col("total_medical_spend")
+    return joined.select(
+        "beneficiary_id",
+        "sex",
+        "race_code",
+        "state_code",
+        "chronic_condition_count",
+        "cc_diabetes",
+        "cc_heart_failure",
+        "cc_copd",
+        "cc_depression",
+        "cc_cancer",
+        "is_deceased",
+        "total_rx_fills",
+        "unique_drugs",
+        "total_rx_spend",
+        "total_patient_pay",
+        "avg_days_supply",
+        "total_days_supply",
+        "observation_days",
+        F.round(guarded_ratio("total_days_supply", "observation_days"), 2).alias(
+            "days_supply_coverage_ratio"
+        ),
+        "first_fill_date",
+        "last_fill_date",
+        "active_years",
+        "inpatient_reimbursement",
+        "outpatient_reimbursement",
+        "carrier_reimbursement",
+        "total_medical_spend",
+        share_pct(F.col("total_rx_spend"), all_spend).alias("rx_share_of_total_spend"),
+    )
+
+
+# --- monthly cost spread -----------------------------------------------------------------
+
+
+def monthly_prices(pricing: DataFrame) -> DataFrame:
+    """Price level and range per drug and month."""
+    return (
+        pricing.filter(F.col("effective_date").isNotNull())
+        .groupBy(
+            "ndc",
+            F.year("effective_date").alias("year"),
+            F.month("effective_date").alias("month"),
+        )
+        .agg(
+            price_avg("nadac_per_unit").alias("avg_nadac_per_unit"),
+            F.min("nadac_per_unit").alias("min_nadac_per_unit"),
+            F.max("nadac_per_unit").alias("max_nadac_per_unit"),
+            F.count("*").alias("price_observations"),
+            # One class per drug and month is expected; min makes the pick repeatable.
+            F.min("rate_classification").alias("rate_classification"),
+        )
+        .withColumn(
+            "monthly_price_range", F.col("max_nadac_per_unit") - F.col("min_nadac_per_unit")
+        )
+    )
+
+
+def monthly_claims(fills: DataFrame) -> DataFrame:
+    """Fill count and cost per drug and month."""
+    return (
+        fills.filter(F.col("service_date").isNotNull())
+        .groupBy(
+            "ndc",
+            F.col("service_year").alias("year"),
+            F.col("service_month").alias("month"),
+        )
+        .agg(
+            F.count("*").alias("claim_count"),
+            exact_avg("total_rx_cost").alias("avg_claim_cost"),
+            exact_avg("patient_pay_amount").alias("avg_patient_pay"),
+            exact_sum("quantity_dispensed", 3).alias("total_units"),
+        )
+        .withColumn(
+            "avg_cost_per_unit",
+            F.when(
+                F.col("total_units") > 0,
+                F.col("avg_claim_cost") / (F.col("total_units") / F.col("claim_count")),
+            ),
+        )
+    )
+
+
+def cost_spread_monthly(pricing: DataFrame, fills: DataFrame, dim_drug: DataFrame) -> DataFrame:
+    """Claim cost over acquisition price per drug and month, months of either side kept."""
+    prices = monthly_prices(pricing).select(
+        "ndc", "year", "month", "avg_nadac_per_unit", "rate_classification", "monthly_price_range"
+    )
+    claims = monthly_claims(fills).select(
+        "ndc",
+        "year",
+        "month",
+        "claim_count",
+        "avg_claim_cost",
+        "avg_patient_pay",
+        F.col("avg_cost_per_unit").alias("avg_claim_cost_per_unit"),
+    )
+    both = prices.join(claims, ["ndc", "year", "month"], "full").withColumn(
+        "spread", F.round(F.col("avg_claim_cost_per_unit") - F.col("avg_nadac_per_unit"), 4)
+    )
+    return both.join(dim_drug.select("ndc", "brand_name", "generic_name"), "ndc", "left")
+
+
+# --- high-cost cohort --------------------------------------------------------------------
+
+
+def inpatient_util(claims: DataFrame) -> DataFrame:
+    """Hospital stays per patient."""
+    return claims.groupBy("beneficiary_id").agg(
+        F.count("*").alias("inpatient_claims"),
+        exact_sum("claim_payment_amount").alias("inpatient_total_paid"),
+        F.avg("length_of_stay").alias("avg_length_of_stay"),
+        F.sum("utilization_days").alias("total_inpatient_days"),
+    )
+
+
+def outpatient_util(claims: DataFrame) -> DataFrame:
+    """Outpatient claims per patient."""
+    return claims.groupBy("beneficiary_id").agg(
+        F.count("*").alias("outpatient_claims"),
+        exact_sum("claim_payment_amount").alias("outpatient_total_paid"),
+    )
+
+
+def spend_threshold(utilization: DataFrame, q: float = 0.9, accuracy: int = 10000) -> Column:
+    """The spend percentile as a scalar subquery: one sketch, rank error 1/accuracy."""
+    return utilization.agg(
+        F.percentile_approx("total_rx_spend", q, accuracy).alias("threshold")
+    ).scalar()
+
+
+def spend_tiers(utilization: DataFrame, q: float = 0.9, accuracy: int = 10000) -> DataFrame:
+    """Mark patients at or above the spend percentile; NULL spend counts as standard."""
+    high = F.col("total_rx_spend") >= spend_threshold(utilization, q, accuracy)
+    return utilization.withColumn("spend_tier", F.when(high, HIGH_COST).otherwise(STANDARD))
+
+
+def high_cost_cohort(
+    utilization: DataFrame,
+    inpatient: DataFrame,
+    outpatient: DataFrame,
+    q: float = 0.9,
+    keep_null_stay: bool = False,
+) -> DataFrame:
+    """Spend tier and downstream medical use per patient.
+
+    Patients without a stay get a mean stay of 0, which pulls cohort means down;
+    ``keep_null_stay`` leaves it NULL.
+    """
+    stay = F.col("avg_length_of_stay")
+
+    def or_zero(name: str, zero: object) -> Column:
+        return F.coalesce(F.col(name), F.lit(zero)).alias(name)
+
+    return (
+        spend_tiers(utilization, q)
+        .join(inpatient_util(inpatient), "beneficiary_id", "left")
+        .join(outpatient_util(outpatient), "beneficiary_id", "left")
+        .select(
+            "beneficiary_id",
+            "spend_tier",
+            "sex",
+            "chronic_condition_count",
+            "total_rx_fills",
+            "unique_drugs",
+            "total_rx_spend",
+            "total_patient_pay",
+            "days_supply_coverage_ratio",
+            "total_medical_spend",
+            "rx_share_of_total_spend",
+            or_zero("inpatient_claims", 0),
+            or_zero("inpatient_total_paid", 0.0),
+            stay if keep_null_stay else or_zero("avg_length_of_stay", 0.0),
+            or_zero("outpatient_claims", 0),
+            or_zero("outpatient_total_paid", 0.0),
+            (F.col("total_rx_spend") + F.col("total_medical_spend")).alias("total_all_spend"),
+        )
+    )
