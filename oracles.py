@@ -582,8 +582,11 @@ def condition(flag: str, name: str) -> str:
         count(*) FILTER ({flag} = 1) AS n FROM utilization WHERE {ratio} IS NOT NULL)"""
 
 
-def dates_as_text(table: str, *dates: str) -> str:
-    return f"SELECT * REPLACE ({', '.join(f'{day(d)} AS {d}' for d in dates)}) FROM {table}"
+def comparable(table: str, dates: str = "", ints: str = "") -> str:
+    """Dates as text and nullable whole numbers as doubles."""
+    columns = [f"{day(d)} AS {d}" for d in dates.split()]
+    columns += [f"CAST({i} AS DOUBLE) AS {i}" for i in ints.split()]
+    return f"SELECT * REPLACE ({', '.join(columns)}) FROM {table}"
 
 
 STATES = ", ".join(
@@ -596,7 +599,9 @@ CONDITIONS = {
     "cc_depression": "Depression",
     "cc_cancer": "Cancer",
 }
-CLAIM_DATES = ("claim_start_date", "claim_end_date")
+CLAIM_DATES = "claim_start_date claim_end_date"
+FILL_DATES = "first_fill_date last_fill_date"
+FILL_INTS = "days_supply service_year service_month"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -613,16 +618,21 @@ def oracle_sql() -> dict[str, str]:
         ),
         "build_drug_dim": sql("SELECT * FROM dim_drug", "dim_drug"),
         "build_pricing": sql(
-            dates_as_text("pricing", "effective_date", "generic_effective_date"), "pricing"
+            comparable("pricing", "effective_date generic_effective_date"), "pricing"
+        ),
+        "build_fills": sql(comparable("fills", "service_date", FILL_INTS), "fills"),
+        "latest_patient": sql(
+            comparable("patients", "birth_date death_date", "part_d_coverage_months"), "patients"
         ),
-        "build_fills": sql(dates_as_text("fills", "service_date"), "fills"),
-        "latest_patient": sql(dates_as_text("patients", "birth_date", "death_date"), "patients"),
         "build_inpatient": sql(
-            dates_as_text("inpatient", *CLAIM_DATES, "admission_date", "discharge_date"),
+            comparable(
+                "inpatient", CLAIM_DATES + " admission_date discharge_date",
+                "service_year length_of_stay",
+            ),
             "inpatient",
         ),
-        "build_outpatient": sql(dates_as_text("outpatient", *CLAIM_DATES), "outpatient"),
-        "build_carrier": sql(dates_as_text("carrier", *CLAIM_DATES), "carrier"),
+        "build_outpatient": sql(comparable("outpatient", CLAIM_DATES, "service_year"), "outpatient"),
+        "build_carrier": sql(comparable("carrier", CLAIM_DATES, "service_year"), "carrier"),
         "snake_case_columns": sql(
             f"""SELECT p_name AS brand_name, p_type AS generic_name,
               {esum("l_extendedprice")} AS total_spending, count(*) AS total_claims
@@ -633,7 +643,7 @@ def oracle_sql() -> dict[str, str]:
             FROM orders WHERE o_orderstatus = 'P' GROUP BY 1"""
         ),
         # gold
-        "latest_price": sql(dates_as_text("latest_price", "nadac_effective_date"), "latest_price"),
+        "latest_price": sql(comparable("latest_price", "nadac_effective_date"), "latest_price"),
         "claims_by_drug": sql("SELECT * FROM claims_by_drug", "claims_by_drug"),
         "drug_cost_journey": sql("SELECT * FROM journey", "journey"),
         "top_drugs_by_spend": sql(
@@ -647,14 +657,15 @@ def oracle_sql() -> dict[str, str]:
             "journey",
         ),
         "patient_fill_summary": sql(
-            dates_as_text("fill_summary", "first_fill_date", "last_fill_date"), "fill_summary"
+            comparable("fill_summary", FILL_DATES, "total_days_supply"), "fill_summary"
         ),
         "patient_utilization": sql(
-            dates_as_text("utilization", "first_fill_date", "last_fill_date"), "utilization"
+            comparable("utilization", FILL_DATES, "total_days_supply observation_days"),
+            "utilization",
         ),
         "monthly_prices": sql("SELECT * FROM monthly_prices", "monthly_prices"),
-        "monthly_claims": sql("SELECT * FROM monthly_claims", "monthly_claims"),
-        "cost_spread_monthly": sql("SELECT * FROM spread", "spread"),
+        "monthly_claims": sql(comparable("monthly_claims", ints="claim_count"), "monthly_claims"),
+        "cost_spread_monthly": sql(comparable("spread", ints="claim_count"), "spread"),
         "inpatient_util": sql("SELECT * FROM ip_util", "ip_util"),
         "outpatient_util": sql("SELECT * FROM op_util", "op_util"),
         "spend_tiers": sql(
@@ -830,7 +841,10 @@ def oracle_sql() -> dict[str, str]:
         "key_coverage_prices": sql(coverage("all_prices"), "all_prices", "dim_drug"),
         # refills and prices
         "refill_sequences": sql(
-            dates_as_text("sequences", "service_date", "prev_fill_date"), "sequences"
+            comparable(
+                "sequences", "service_date prev_fill_date", FILL_INTS + " days_between_fills"
+            ),
+            "sequences",
         ),
         "refill_stats": sql("SELECT * FROM refill_stats", "refill_stats"),
         "mean_refill_rate": sql(

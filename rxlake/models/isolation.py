@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxlake.operators.keyed import with_global_rank
+from rxlake.operators.keyed import ensure_checkpoint_dir, with_global_rank
 
 NODE_SCHEMA = (
     "tree int, node int, feature int, split double, left int, right int, path double, size int"
@@ -170,7 +170,9 @@ def isolation_forest(
     the ``contamination`` quantile (interpolated); below zero is an anomaly.
     """
     values = "_values"
-    ready = standardized(df.na.drop(subset=features), features, values)
+    ensure_checkpoint_dir(df.sparkSession)
+    # One row per drug, read by every step below: stored once.
+    ready = standardized(df.na.drop(subset=features).checkpoint(), features, values)
     n = ready.count()
     if n == 0:
         raise ValueError("no complete rows to score")

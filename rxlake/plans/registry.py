@@ -21,9 +21,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 PHARMACY_TYPES = ["A", "N", "R"]
 
 
-def _dates_as_text(df: DataFrame) -> DataFrame:
+# Whole-number columns that may be NULL, compared as doubles.
+NULLABLE_INTS = {
+    "days_supply", "service_year", "service_month", "part_d_coverage_months", "length_of_stay",
+    "days_between_fills", "claim_count", "total_days_supply", "observation_days",
+}
+
+
+def _comparable(df: DataFrame) -> DataFrame:
+    """Dates as text and nullable whole numbers as doubles, alike in every engine."""
     return df.withColumns(
         {n: F.date_format(n, "yyyy-MM-dd") for n, t in df.dtypes if t == "date"}
+        | {n: F.col(n).cast("double") for n in df.columns if n in NULLABLE_INTS}
     )
 
 
@@ -32,7 +41,7 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 
 def on_inputs(build: Callable[[Inputs], DataFrame]) -> Query:
-    return lambda spark, sf_dir: _dates_as_text(build(Inputs(spark, sf_dir)))
+    return lambda spark, sf_dir: _comparable(build(Inputs(spark, sf_dir)))
 
 
 def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,21 +56,21 @@ def _training(i: Inputs) -> DataFrame:
 
 
 def _stored_training(i: Inputs) -> DataFrame:
-    """The training set, written once, as each fit reads it many times."""
+    """The training set, written once, for what reads it more than once."""
     ensure_checkpoint_dir(i.spark)
     return _training(i).checkpoint()
 
 
 def _rule_scores(i: Inputs) -> DataFrame:
     share = F.col("rx_share_of_total_spend")
-    return _training(i).withColumns(
+    return _stored_training(i).withColumns(
         {"prediction": (share > 80).cast("int"), "probability": share / 100}
     )
 
 
 def _split_counts(i: Inputs) -> DataFrame:
     return (
-        adherence.with_part(_training(i))
+        adherence.with_part(_stored_training(i))
         .groupBy("low_adherence", F.col("_part").alias("part"))
         .agg(F.count("*").alias("n"))
     )
@@ -235,7 +244,7 @@ def queries() -> dict[str, Query]:
         "adherence_training_set": q(_training),
         "adherence_target_rate": q(lambda i: adherence.target_rate(_training(i))),
         "stratified_split": q(
-            lambda i: adherence.with_part(_training(i)).select(
+            lambda i: adherence.with_part(_stored_training(i)).select(
                 "beneficiary_id", "low_adherence", F.col("_part").alias("part")
             )
         ),
