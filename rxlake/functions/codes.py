@@ -14,7 +14,9 @@ _EXCESS = "^0{0,5}([^-]{5,})-0{0,4}([^-]{4,})-0{0,2}([^-]{2,})$"
 
 
 def _clean(raw: Column) -> Column:
-    return F.btrim(F.translate(raw.cast("string"), " ", ""), F.lit("\t\n\r\f\x0b"))
+    return F.btrim(
+        F.replace(raw.cast("string"), F.lit(" "), F.lit("")), F.lit("\t\n\r\f\x0b")
+    )
 
 
 def readable_code(raw: Column) -> Column:
@@ -41,7 +43,7 @@ def normalize_code(raw: Column) -> Column:
 
 def register_sql_function(spark: SparkSession, name: str = "normalize_ndc") -> None:
     """Make the normalizer callable from SQL, as an inlined SQL function (no Python)."""
-    text = r"btrim(translate(code, ' ', ''), '\t\n\r\f\u000B')"
+    text = r"btrim(replace(code, ' ', ''), '\t\n\r\f\u000B')"
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(code STRING) RETURNS STRING RETURN

@@ -266,14 +266,14 @@ def outpatient_util(claims: DataFrame) -> DataFrame:
     )
 
 
-def spend_threshold(utilization: DataFrame, q: float = 0.9, accuracy: int = 1_000_000) -> Column:
+def spend_threshold(utilization: DataFrame, q: float = 0.9, accuracy: int = 100_000) -> Column:
     """The spend percentile as a scalar subquery: one sketch, rank error 1/accuracy."""
     return utilization.agg(
         F.percentile_approx("total_rx_spend", q, accuracy).alias("threshold")
     ).scalar()
 
 
-def spend_tiers(utilization: DataFrame, q: float = 0.9, accuracy: int = 1_000_000) -> DataFrame:
+def spend_tiers(utilization: DataFrame, q: float = 0.9, accuracy: int = 100_000) -> DataFrame:
     """Mark patients at or above the spend percentile; NULL spend counts as standard."""
     high = F.col("total_rx_spend") >= spend_threshold(utilization, q, accuracy)
     return utilization.withColumn("spend_tier", F.when(high, HIGH_COST).otherwise(STANDARD))

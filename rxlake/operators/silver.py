@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxlake.functions.codes import normalize_code, readable_code
@@ -19,11 +19,19 @@ from rxlake.operators.keyed import ascending, first_per_key
 from rxlake.sources.schemas import CONDITION_FLAGS
 
 
+def _known_code(raw: str) -> Column:
+    """The code of a row that passed ``readable_code``.
+
+    Declared non-null, so that joins on it need not normalize once more to test for NULL.
+    """
+    return F.coalesce(normalize_code(F.col(raw)), F.lit(""))
+
+
 def build_drug_dim(product: DataFrame, package: DataFrame) -> DataFrame:
     """One row per readable 11-digit drug code, with the product's description."""
     listed = (
         package.filter(readable_code(F.col("NDCPACKAGECODE")))
-        .withColumn("ndc", normalize_code(F.col("NDCPACKAGECODE")))
+        .withColumn("ndc", _known_code("NDCPACKAGECODE"))
         .join(product, "PRODUCTNDC", "left")
         .select(
             "ndc",
@@ -48,25 +56,22 @@ def build_drug_dim(product: DataFrame, package: DataFrame) -> DataFrame:
 
 def build_pricing(raw: DataFrame) -> DataFrame:
     """Typed price observations; rows whose drug code cannot be read are left out."""
-    return (
-        raw.filter(readable_code(F.col("NDC")))
-        .select(
-            normalize_code(F.col("NDC")).alias("ndc"),
-            F.trim("NDC_Description").alias("ndc_description"),
-            parse_amount(F.col("NADAC_Per_Unit")).alias("nadac_per_unit"),
-            parse_us_date(F.col("Effective_Date")).alias("effective_date"),
-            F.trim("Pricing_Unit").alias("pricing_unit"),
-            F.trim("Pharmacy_Type_Indicator").alias("pharmacy_type"),
-            F.trim("OTC").alias("otc_flag"),
-            F.trim("Explanation_Code").alias("explanation_code"),
-            F.trim("Classification_for_Rate_Setting").alias("rate_classification"),
-            parse_amount(F.col("Corresponding_Generic_Drug_NADAC_Per_Unit")).alias(
-                "generic_nadac_per_unit"
-            ),
-            parse_us_date(F.col("Corresponding_Generic_Drug_Effective_Date")).alias(
-                "generic_effective_date"
-            ),
-        )
+    return raw.filter(readable_code(F.col("NDC"))).select(
+        _known_code("NDC").alias("ndc"),
+        F.trim("NDC_Description").alias("ndc_description"),
+        parse_amount(F.col("NADAC_Per_Unit")).alias("nadac_per_unit"),
+        parse_us_date(F.col("Effective_Date")).alias("effective_date"),
+        F.trim("Pricing_Unit").alias("pricing_unit"),
+        F.trim("Pharmacy_Type_Indicator").alias("pharmacy_type"),
+        F.trim("OTC").alias("otc_flag"),
+        F.trim("Explanation_Code").alias("explanation_code"),
+        F.trim("Classification_for_Rate_Setting").alias("rate_classification"),
+        parse_amount(F.col("Corresponding_Generic_Drug_NADAC_Per_Unit")).alias(
+            "generic_nadac_per_unit"
+        ),
+        parse_us_date(F.col("Corresponding_Generic_Drug_Effective_Date")).alias(
+            "generic_effective_date"
+        ),
     )
 
 
