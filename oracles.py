@@ -607,7 +607,16 @@ FILL_INTS = "days_supply service_year service_month"
 def oracle_sql() -> dict[str, str]:
     low = "days_supply_coverage_ratio < 0.5 AND total_rx_fills >= 3"
     return {
-        # functions and silver
+        # sources, functions and silver
+        "scan_delimited": sql(
+            """SELECT product_ndc AS PRODUCTNDC, code AS NDCPACKAGECODE,
+              package_description AS PACKAGEDESCRIPTION FROM raw_package""",
+            "raw_package",
+        ),
+        "scan_with_provenance": sql(
+            "SELECT DESYNPUF_ID, SP_STATE_CODE, MEDREIMB_IP, _source_year FROM raw_patients",
+            "raw_patients",
+        ),
         "normalize_code": sql("SELECT k AS part_key, raw, ndc FROM part_codes", "part_codes"),
         "normalize_rate": sql(
             f"""SELECT count(*) AS total, count(ndc) AS normalized,

@@ -59,8 +59,9 @@ def target_rate(training: DataFrame, label: str = LABEL) -> DataFrame:
 def split_points(df: DataFrame, label: str, frac: float, seed: int, key: str) -> DataFrame:
     """Per label, the hash and key of the last training row.
 
-    Rows are ordered by a hash of their key. Hash ranges are counted first; only the one
-    range in which a label's cut falls, a small even slice, is then ranked.
+    Rows are ordered by a hash of their key. Hash ranges are counted first; only the keys of
+    the one range in which a label's cut falls, a small even slice, are then put in order.
+    Rows with the same key stay on one side.
     """
     hashed = df.select(label, key, F.xxhash64(F.lit(seed), key).alias("_hash")).withColumn(
         "_slice", F.shiftright("_hash", 48)
@@ -83,8 +84,10 @@ def split_points(df: DataFrame, label: str, frac: float, seed: int, key: str) ->
     inside = Window.partitionBy(label).orderBy("_hash", key)
     return (
         hashed.join(F.broadcast(slices), [label, "_slice"], "inner")
-        .withColumn("_rank", F.row_number().over(inside))
-        .filter(F.col("_rank") == F.col("_row"))
+        .groupBy(label, "_hash", key, "_row")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_upto", F.sum("_n").over(inside))
+        .filter((F.col("_upto") >= F.col("_row")) & (F.col("_upto") - F.col("_n") < F.col("_row")))
         .select(label, F.col("_hash").alias("_cut"), F.col(key).alias("_cut_key"))
     )
 
@@ -96,7 +99,7 @@ def stratified_split(
     seed: int = 42,
     key: str = "beneficiary_id",
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows with each label's share exact to the row.
+    """Train and test rows, each label's share exact to the row when keys are unique.
 
     Depends on the keys and the seed only, never on partitioning.
     """

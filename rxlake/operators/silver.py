@@ -28,30 +28,40 @@ def _known_code(raw: str) -> Column:
 
 
 def build_drug_dim(product: DataFrame, package: DataFrame) -> DataFrame:
-    """One row per readable 11-digit drug code, with the product's description."""
-    listed = (
-        package.filter(readable_code(F.col("NDCPACKAGECODE")))
-        .withColumn("ndc", _known_code("NDCPACKAGECODE"))
-        .join(product, "PRODUCTNDC", "left")
-        .select(
-            "ndc",
-            F.col("PRODUCTNDC").alias("product_ndc"),
-            F.col("NDCPACKAGECODE").alias("ndc_package_code_raw"),
-            F.col("PROPRIETARYNAME").alias("brand_name"),
-            F.col("NONPROPRIETARYNAME").alias("generic_name"),
-            F.col("LABELERNAME").alias("labeler_name"),
-            F.col("DOSAGEFORMNAME").alias("dosage_form"),
-            F.col("ROUTENAME").alias("route"),
-            F.col("SUBSTANCENAME").alias("active_ingredients"),
-            F.col("ACTIVE_NUMERATOR_STRENGTH").alias("strength"),
-            F.col("ACTIVE_INGRED_UNIT").alias("strength_unit"),
-            F.col("PHARM_CLASSES").alias("pharm_classes"),
-            F.col("DEASCHEDULE").alias("dea_schedule"),
-            F.col("PRODUCTTYPENAME").alias("product_type"),
-            F.col("PACKAGEDESCRIPTION").alias("package_description"),
-        )
+    """One row per readable 11-digit drug code, with the product's description.
+
+    Both sides are cut to one row per key before they meet, so repeated listings never
+    multiply.
+    """
+    listed = package.filter(readable_code(F.col("NDCPACKAGECODE"))).withColumn(
+        "ndc", _known_code("NDCPACKAGECODE")
+    )
+    listed = first_per_key(
+        listed, ["ndc"], ascending(["PRODUCTNDC", "NDCPACKAGECODE", "PACKAGEDESCRIPTION"])
+    )
+    described = product.select(
+        "PRODUCTNDC",
+        F.col("PROPRIETARYNAME").alias("brand_name"),
+        F.col("NONPROPRIETARYNAME").alias("generic_name"),
+        F.col("LABELERNAME").alias("labeler_name"),
+        F.col("DOSAGEFORMNAME").alias("dosage_form"),
+        F.col("ROUTENAME").alias("route"),
+        F.col("SUBSTANCENAME").alias("active_ingredients"),
+        F.col("ACTIVE_NUMERATOR_STRENGTH").alias("strength"),
+        F.col("ACTIVE_INGRED_UNIT").alias("strength_unit"),
+        F.col("PHARM_CLASSES").alias("pharm_classes"),
+        F.col("DEASCHEDULE").alias("dea_schedule"),
+        F.col("PRODUCTTYPENAME").alias("product_type"),
+    )
+    details = described.columns[1:]
+    described = first_per_key(described, ["PRODUCTNDC"], ascending(details))
+    return listed.join(described, "PRODUCTNDC", "left").select(
+        "ndc",
+        F.col("PRODUCTNDC").alias("product_ndc"),
+        F.col("NDCPACKAGECODE").alias("ndc_package_code_raw"),
+        *details,
+        F.col("PACKAGEDESCRIPTION").alias("package_description"),
     )
-    return first_per_key(listed, ["ndc"], ascending(listed.columns[1:]))
 
 
 def build_pricing(raw: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from rxlake.operators import analysis, gold, prices, quality, refills, silver
 from rxlake.operators.keyed import ensure_checkpoint_dir
 from rxlake.plans import driver_tables as raw
 from rxlake.plans.driver_tables import Inputs
+from rxlake.sources import scan_delimited, scan_with_provenance, schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +53,32 @@ def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.withColumn("ndc", normalize_code(F.col("raw")))
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A new folder next to the checkpoints, which all executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/rxlake-files-{uuid.uuid4().hex}"
+
+
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The package listing written as tab-separated files and read back."""
+    path = _scratch(spark)
+    raw.raw_package(spark, sf_dir).write.csv(
+        path, sep="\t", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    return scan_delimited(spark, path, schemas.PACKAGE, sep="\t")
+
+
+def _scanned_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patient records written as one set of files per year, the year taken from the path."""
+    path = _scratch(spark)
+    names = ["DESYNPUF_ID", "SP_STATE_CODE", "MEDREIMB_IP"]
+    raw.raw_patients(spark, sf_dir).select(*names, "_source_year").write.partitionBy(
+        "_source_year"
+    ).csv(path, header=True)
+    return scan_with_provenance(
+        spark, f"{path}/*", schemas.text_schema(" ".join(names)), r"_source_year=(\d{4})"
+    ).drop("_source_file")
+
+
 def _training(i: Inputs) -> DataFrame:
     return adherence.adherence_training_set(i.utilization(), i.refill_stats())
 
@@ -142,7 +170,9 @@ def _raw_of(build: Callable[[SparkSession, str], DataFrame], i: Inputs) -> DataF
 def queries() -> dict[str, Query]:
     q = on_inputs
     return {
-        # functions and silver
+        # sources, functions and silver
+        "scan_delimited": _scanned,
+        "scan_with_provenance": _scanned_by_year,
         "normalize_code": _codes,
         "normalize_rate": q(
             lambda i: quality.normalize_rate(_raw_of(raw.raw_package, i), "NDCPACKAGECODE")
