@@ -130,5 +130,6 @@ def build_gold(spark: SparkSession, high_cost_quantile: float = 0.9) -> None:
 
 def inventory(spark: SparkSession, layer: str) -> DataFrame:
     """Rows per table of a layer, from the written files."""
-    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN `{layer}`").collect()]
+    listed = spark.sql(f"SHOW TABLES IN `{layer}`").filter("NOT isTemporary").collect()
+    names = [r["tableName"] for r in listed]
     return quality.table_inventory({n: read_layer(spark, layer, n) for n in names})
