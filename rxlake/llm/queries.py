@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rxlake.llm import pii
+from rxlake.llm import packing, pii, quality_fm
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +21,38 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents")))
 
 
+QUALITY_CUT = 0.3
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of the held-out fifth are never learned from."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_fm.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality_fm.score(docs, model).select(
+        "doc_id",
+        quality_fm.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"),
+    )
+
+
+TOKENIZER_FILE = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    """Where an executor has the vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER_FILE)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of at most 4096."""
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path)
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_pii": op1_pii}
+    return {"op1_pii": op1_pii, "op2_quality": op2_quality, "op4_packing": op4_packing}
 
 
 def oracle_sql() -> dict[str, str]:
