@@ -5,11 +5,11 @@ documents is then wanted ``ratio = target / size of the source`` times: the whol
 certain, and the fraction is the document's inclusion probability. The cube method turns these
 fractions into zeros and ones while the totals of words and of documents stay where they are: in its
 flight, the fractions of a few documents at a time move along a direction in the null space of the
-totals until one of them lands; what is left at the end, no more documents than totals, is landed by
-the choice that misses the word total least.
+totals until one of them lands. A dozen documents of different sizes sit out; with the few that the
+flight leaves open they are the landing problem, solved by the choice that is nearest to the totals.
 
 A flight runs on a block of documents of one source, so a source of any size is many small tasks.
-The few documents each block leaves open go to the next round's blocks, a thousandth in number, until
+The few documents each block leaves open go to the next round's blocks, a hundredth in number, until
 one block per source is left.
 
 Defined results: a NULL or blank text has size 0 and is taken 0 words. NULL is a source of its own
@@ -38,6 +38,7 @@ class Mix:
     weights: tuple[int, ...] = (5, 2, 1)  # by rank of the source, repeating
     most: float = 3.0  # times a source's own size
     block: int = 2_000  # documents of one flight
+    aside: int = 12  # documents of a flight that wait for the landing
     seed: int = 7
 
 
@@ -116,32 +117,40 @@ def fly(chance: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nd
     return chance
 
 
-def land(chance: np.ndarray, size: np.ndarray, missing: float) -> np.ndarray:
-    """Round the open chances so that the taken size is nearest to ``missing``."""
+def set_aside(size: np.ndarray, many: int) -> np.ndarray:
+    """Which of the documents, ordered by size, wait for the landing: ``many`` evenly spread ones."""
+    aside = np.zeros(len(size), bool)
+    aside[np.unique(np.linspace(0, len(size) - 1, many).round().astype(int))] = True
+    return aside
+
+
+def land(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Round the open chances to the choice nearest to both totals.
+
+    Every choice is tried; they are few, as a flight leaves few open. The document total may be off
+    by one, the word total is brought as near as it goes.
+    """
     still = np.flatnonzero((chance > 0) & (chance < 1))
-    best = None
-    for choice in range(1 << len(still)):
-        x = np.array([choice >> k & 1 for k in range(len(still))], float)
-        off = abs(float((x * size[still]).sum()) - missing)
-        if best is None or off < best[0] - 1e-9:
-            best = (off, x)
+    choices = np.arange(1 << len(still))[:, None] >> np.arange(len(still)) & 1
+    words = np.abs(choices @ size[still] - chance[still] @ size[still])
+    count = np.abs(choices.sum(1) - chance[still].sum())
     out = chance.copy()
-    out[still] = best[1]
+    out[still] = choices[np.argmin(words + (size.max() + 1) * np.maximum(count - 1, 0))]
     return out
 
 
-def _flight(landing: bool, seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _flight(landing: bool, aside: int, seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """The flight of one block, with the landing behind it if nothing follows."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        # Longest first: what stays open at the end is short, so landing it moves totals little.
         block = block.sort_values(["size", "_order", "_uid"], ascending=[False, True, True], kind="stable")
         size = block["size"].to_numpy(float)
         rng = np.random.default_rng([seed, int(block["_order"].min()) & ((1 << 63) - 1)])
-        chance = fly(block["_chance"].to_numpy(float), size, rng)
+        chance = block["_chance"].to_numpy(float)
+        moving = ~set_aside(size, aside)
+        chance[moving] = fly(chance[moving], size[moving], rng)
         if landing:
-            still = (chance > 0) & (chance < 1)
-            chance = land(chance, size, float((chance * size)[still].sum()))
+            chance = land(chance, size)
         return block.assign(_chance=chance)
 
     return run
@@ -189,17 +198,17 @@ def mix_sources(
             {"_blocks": blocks, "_block": F.pmod(F.xxhash64("_order", "_salt"), blocks)}
         )
         flown = stored(
-            work.groupBy("source", "_block").applyInPandas(_flight(last, mix.seed), work.schema), "flight"
+            work.groupBy("source", "_block").applyInPandas(_flight(last, mix.aside, mix.seed), work.schema), "flight"
         ).drop("_blocks", "_block")
         done = flown.filter("_chance = 0 OR _chance = 1").select("_uid", "_chance")
         decided = done if decided is None else decided.unionByName(done)
         if last:
             break
-        # Two open documents a block at most; sources of one block go on to land as they are.
+        left = mix.aside + 2  # open documents a block at most
         open_rows = flown.filter("_chance > 0 AND _chance < 1").withColumn(
-            "_docs", 2 * F.ceil(F.col("_docs") / mix.block)
+            "_docs", left * F.ceil(F.col("_docs") / mix.block)
         )
-        most = 2 * -(-most // mix.block)
+        most = left * -(-most // mix.block)
     picked = decided.select(F.col("_uid").alias("_u"), F.col("_chance").cast("long").alias("_more"))
     out = ready.join(picked, F.col("_uid") == F.col("_u"), "left")
     copies = (F.floor("ratio") + F.coalesce("_more", F.lit(0))).cast("long")
