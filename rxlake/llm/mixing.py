@@ -15,7 +15,8 @@ one block per source is left.
 Defined results: a NULL or blank text has size 0 and is taken 0 words. NULL is a source of its own
 and comes last. Repeated rows are documents of their own. Without any words nothing is taken and all
 targets are 0; an empty table gives no rows. Equal input gives equal results, in any partitioning if
-all rows have an id. Rows without one are spread over blocks by their place in the input. Extra columns stay unless a result has their name.
+all rows have an id. Rows without one are spread over blocks by their place in the input. Extra
+columns stay if asked for, unless a result has their name.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ class Mix:
     weights: tuple[int, ...] = (5, 2, 1)  # by rank of the source, repeating
     most: float = 3.0  # times a source's own size
     block: int = 2_000  # documents of one flight
-    aside: int = 12  # documents of a flight that wait for the landing
+    aside: int = 14  # documents of a flight that wait for the landing
     seed: int = 7
 
 
@@ -118,9 +119,15 @@ def fly(chance: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nd
 
 
 def set_aside(size: np.ndarray, many: int) -> np.ndarray:
-    """Which of the documents, ordered by size, wait for the landing: ``many`` evenly spread ones."""
+    """Which documents, ordered from the longest down, wait for the landing.
+
+    Half of them are near the top, ever further apart, as only long documents can make up for a long
+    one; the other half are evenly spread, for the fine adjustment.
+    """
     aside = np.zeros(len(size), bool)
-    aside[np.unique(np.linspace(0, len(size) - 1, many).round().astype(int))] = True
+    top = np.round(1.6 ** np.arange(many // 2)).astype(int) - 1
+    even = np.linspace(0, len(size) - 1, many - many // 2).round().astype(int)
+    aside[np.minimum(np.concatenate([top, even]), len(size) - 1)] = True
     return aside
 
 
@@ -128,14 +135,14 @@ def land(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Round the open chances to the choice nearest to both totals.
 
     Every choice is tried; they are few, as a flight leaves few open. The document total may be off
-    by one, the word total is brought as near as it goes.
+    by two, the word total is brought as near as it goes.
     """
     still = np.flatnonzero((chance > 0) & (chance < 1))
     choices = np.arange(1 << len(still))[:, None] >> np.arange(len(still)) & 1
     words = np.abs(choices @ size[still] - chance[still] @ size[still])
     count = np.abs(choices.sum(1) - chance[still].sum())
     out = chance.copy()
-    out[still] = choices[np.argmin(words + (size.max() + 1) * np.maximum(count - 1, 0))]
+    out[still] = choices[np.argmin(words + (size.max() + 1) * np.maximum(count - 2, 0))]
     return out
 
 
