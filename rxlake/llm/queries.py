@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import mixing, packing, pii, quality_fm, quality_rules
+from rxlake.llm import mixing, packing, pii, quality_fm, quality_rules, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path)
 
 
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return winnowing.compare_neighbours(_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document a mix of all sources takes."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
@@ -62,7 +67,7 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_pii": op1_pii, "op2_quality": op2_quality, "op4_packing": op4_packing, "op8_mixing": op8_mixing, "op9_rules": op9_rules}
+    return {"op1_pii": op1_pii, "op2_quality": op2_quality, "op4_packing": op4_packing, "op5_winnowing": op5_winnowing, "op8_mixing": op8_mixing, "op9_rules": op9_rules}
 
 
 def oracle_sql() -> dict[str, str]:
