@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import mixing, packing, pii, quality_fm, quality_rules, winnowing
+from rxlake.llm import mixing, packing, pii, quality_fm, quality_rules, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,12 @@ def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_neighbours(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to bundles, and what the bundles hold when read back."""
+    index = warc.archive(spark, _table(spark, sf_dir, "pages"))
+    return warc.summary(warc.read_bundles(index))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document a mix of all sources takes."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
@@ -67,8 +73,33 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_pii": op1_pii, "op2_quality": op2_quality, "op4_packing": op4_packing, "op5_winnowing": op5_winnowing, "op8_mixing": op8_mixing, "op9_rules": op9_rules}
+    return {
+        "op1_pii": op1_pii,
+        "op2_quality": op2_quality,
+        "op4_packing": op4_packing,
+        "op5_winnowing": op5_winnowing,
+        "op6_warc": op6_warc,
+        "op8_mixing": op8_mixing,
+        "op9_rules": op9_rules,
+    }
+
+
+OP6_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html,
+           CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END
+           AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc": OP6_SQL}
