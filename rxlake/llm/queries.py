@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import mixing, packing, pii, quality_fm, quality_rules, warc, winnowing
+from rxlake.llm import jaccard, mixing, packing, pii, quality_fm, quality_rules, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,11 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by their five-word shingles."""
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
@@ -81,6 +86,7 @@ def queries() -> dict[str, Query]:
         "op6_warc": op6_warc,
         "op8_mixing": op8_mixing,
         "op9_rules": op9_rules,
+        "op10_jaccard": op10_jaccard,
     }
 
 
