@@ -5,16 +5,17 @@ Sets are told apart by size, with the boundary where the estimated cost of both
 
 * Light sets list all subsets of the size that a link requires, once per partner size. Two light
   sets are linked exactly if a subset meets, so no further check is needed.
-* Heavy sets are found by scanning inverted lists of their prefix: with n-grams in one global order,
-  linked sets share one of the first quarter. The order is by hash, with the most frequent n-grams
-  last, so passages that many documents share do not make long lists. Any order gives all links; the
-  list of frequent n-grams is bounded and only saves work.
+* Heavy sets are found by scanning inverted lists of their prefix. With n-grams in one global order,
+  linked sets share an n-gram within the first quarter, and at least k of them if the prefix is k - 1
+  longer; k grows with the size, so sets that meet by chance are passed over by counting alone. The
+  order is by hash, with the most frequent n-grams last, so passages that many documents share do not
+  make long lists. Any order gives all links; the list of frequent n-grams is bounded and only saves
+  work.
 
 Only connections count, so pairs inside a group are not enumerated. Each set is first compared with
 the heads of the lists it shares most n-grams with, and what is linked becomes one component. Then
-all pairs in a list that lie in different components are checked, first by a parity sketch that
-bounds the difference of two sets from below, then in full. Long lists are cut into blocks, and pairs
-of blocks are tasks of their own.
+all pairs that share enough lists and lie in different components are compared in full. Long lists
+are cut into blocks, and pairs of blocks are tasks of their own.
 
 Documents with equal sets are one set from the start. N-grams and sets are told apart by 64-bit
 hashes.
@@ -39,24 +40,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rxlake.llm.components import components
-from rxlake.llm.words import chunks, mix
+from rxlake.llm.words import LOWER, chunks, mix
 from rxlake.sources.scratch import stored
 
 
 @dataclass(frozen=True)
 class Join:
     words: int = 5
-    # Linked if over * common >= under * (size + size): 7 and 3 stand for a Jaccard of 3/4.
     percent: int = 75
     most_light: int = 12  # sizes considered for subset enumeration
     check_cost: float = 6.0  # of an inverted-list entry and its checks, in enumerated subsets
     frequent: int = 1 << 17  # n-grams put last in the order, at most
     count_block: int = 2_000_000  # n-grams counted at a time
     count_least: int = 8
-    sketch_bits: int = 2048
     filter_bits: int = 1 << 24
+    more: int = 24  # a linked pair shares one more prefix n-gram for as many n-grams of its sets
     heads: int = 2
-    block: int = 2048  # rows of a list that are compared at a time
+    head_share: float = 0.3  # of the prefix that is worth comparing a set with a list's head
+    block: int = 2048  # rows of a list that are paired at a time
 
     def overlap(self, a: int, b: int) -> int:
         """The smallest common part of linked sets of these sizes."""
@@ -69,8 +70,12 @@ class Join:
         """Sizes that a set of n can be linked with."""
         return range(-(-self.percent * n // 100), 100 * n // self.percent + 1)
 
+    def least_shared(self, n: int) -> int:
+        """Prefix n-grams that linked sets share at least, if neither is smaller than n."""
+        return 1 + n // self.more
+
     def prefix(self, n: int) -> int:
-        return n - -(-self.percent * n // 100) + 1
+        return n - -(-self.percent * n // 100) + self.least_shared(n)
 
     def enumerated(self, n: int, boundary: int) -> int:
         return sum(comb(n, self.overlap(n, m)) for m in self.partners(n) if m <= boundary)
@@ -79,7 +84,7 @@ class Join:
 def row_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each row with its sorted distinct n-gram hashes."""
     factors = mix(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
-    for chunk in chunks(column, lower=True):
+    for chunk in chunks(column, LOWER):
         h = chunk.hashes()
         count = max(len(h) - words + 1, 0)
         grams = np.zeros(count, np.uint64)
@@ -273,10 +278,10 @@ def _bit_filter(ids: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _bodies(docs: DataFrame, wanted: np.ndarray, join: Join) -> DataFrame:
-    """One compressed text and parity sketch per set that stands in a list."""
-    names = ["set_id", "n", "body", "sketch"]
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+def _bodies(docs: DataFrame, ids: DataFrame, join: Join) -> DataFrame:
+    """One compressed text for each set of ``ids`` (and for some others, which the filter lets by)."""
+    wanted = _bit_filter(ids, join.filter_bits)
+    names, types = ["set_id", "body"], [pa.int64(), pa.binary()]
     bits = np.uint64(len(wanted) * 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,21 +299,21 @@ def _bodies(docs: DataFrame, wanted: np.ndarray, join: Join) -> DataFrame:
                     if key in seen or not wanted[int(at) >> 6] >> np.uint64(int(at) & 63) & np.uint64(1):
                         continue
                     seen.add(key)
-                    odd = np.bincount((grams % np.uint64(join.sketch_bits)).astype(np.int64), minlength=join.sketch_bits) & 1
-                    body = packer.compress(column[row].as_py().encode())
-                    rows.append((key, len(grams), body, np.packbits(odd.astype(np.uint8)).tobytes()))
+                    rows.append((key, packer.compress(column[row].as_py().encode())))
                 if rows:
                     yield _batch(list(zip(*rows)), types, names)
 
-    found = docs.select("text").mapInArrow(run, "set_id long, n long, body binary, sketch binary")
+    found = docs.select("text").mapInArrow(run, "set_id long, body binary")
     return stored(found.dropDuplicates(["set_id"]), "bodies")
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, join: Join, tasks: int, salts: int = 8) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, join: Join, tasks: int, salts: int = 8) -> DataFrame:
     """The pairs (a, b) whose sets are linked, each found from whole texts.
 
     The text of ``a`` is sent once per salt, ahead of those of its partners.
     """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    bodies = _bodies(docs, ends, join)
     salted = pairs.select("a", "b", F.pmod(F.hash("b"), F.lit(salts)).alias("salt"))
     partner = salted.join(bodies.select(F.col("set_id").alias("b"), "body"), "b").select("a", "salt", "b", "body")
     own = salted.select("a", "salt").distinct().join(bodies.select(F.col("set_id").alias("a"), "body"), "a")
@@ -340,33 +345,16 @@ def _verified(pairs: DataFrame, bodies: DataFrame, join: Join, tasks: int, salts
     return placed.mapInArrow(run, "a long, b long")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Consecutive rows that agree in the first ``keys`` columns."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(i).to_numpy() for i in range(keys)]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        if held:
-            change[0] = any(held[-1].column(i)[-1].as_py() != columns[i][0] for i in range(keys))
-        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for i, (start, end) in enumerate(zip(cuts, cuts[1:])):
-            if i and held:
-                yield pa.Table.from_batches(held)
-                held = []
-            if end > start:
-                held.append(batch.slice(start, end - start))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _across(lists: DataFrame, label: DataFrame, bodies: DataFrame, join: Join, tasks: int) -> DataFrame:
-    """Pairs in a list that lie in different components and that sizes and sketches cannot rule out."""
-    rows = lists.filter("NOT light").join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
-    rows = rows.select("gram", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
+def _across(lists: DataFrame, label: DataFrame, join: Join, tasks: int) -> DataFrame:
+    """Pairs (a, b) in different components that share as many lists as linked sets do."""
+    entries = lists.filter("NOT light")
+    # A set that stands in too few lists is linked with none, whatever its partner's size.
+    sets = entries.groupBy("set_id").agg(F.count("*").alias("k"), F.first("n").alias("n"))
+    smallest = F.ceil(join.percent * F.col("n") / 100)
+    sets = sets.filter(F.col("k") >= 1 + F.floor(smallest / join.more)).select("set_id")
+    sets = sets.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
+    sets = sets.withColumn("component", F.coalesce("component", "set_id"))
+    rows = stored(entries.join(sets, "set_id").select("gram", "set_id", "n", "component"), "open")
     mixed = (
         rows.groupBy("gram")
         .agg(F.count("*").alias("k"), F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -380,38 +368,54 @@ def _across(lists: DataFrame, label: DataFrame, bodies: DataFrame, join: Join, t
         "gram",
         F.least("mine", "other").alias("p"),
         F.greatest("mine", "other").alias("q"),
-        "mine", "set_id", "n", "component",
+        "n", "set_id", "mine", "component",
     )
-    rows = rows.join(bodies.select("set_id", "sketch"), "set_id").select(
-        "gram", "p", "q", "mine", "set_id", "n", "component", "sketch"
-    )
-    ratio = join.percent / 100
+    names, types = ["a", "b", "need"], [pa.int64()] * 3
+
+    def pairs(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """All pairs of whole lists: each row with the next, then with the one after, and so on."""
+        gram, p, q, n, ids, mine, component = columns
+        new = np.ones(len(gram), bool)
+        new[1:] = (gram[1:] != gram[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
+        first = np.flatnonzero(new)
+        end = np.repeat(np.append(first[1:], len(gram)), np.diff(np.append(first, len(gram))))
+        row, apart = np.arange(len(gram)), 1
+        while True:
+            row = row[row + apart < end[row]]
+            row = row[100 * n[row] >= join.percent * n[row + apart]]  # sizes ascend, so it stays so
+            if not len(row):
+                return
+            to = row + apart
+            meet = (component[row] != component[to]) & ((p[row] == q[row]) | (mine[row] != mine[to]))
+            if meet.any():
+                x, y = row[meet], to[meet]
+                need = 1 + np.minimum(n[x], n[y]) // join.more
+                yield _batch([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]), need], types, names)
+            apart += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _runs(batches, 3):
-            if group.num_rows < 2:
+        held: list[list[np.ndarray]] = []  # rows of the list that is still open, of one block pair
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            p, q, mine, ids, n, component = (group.column(i).to_numpy() for i in range(1, 7))
-            sketch = np.frombuffer(b"".join(group.column(7).to_pylist()), np.uint64).reshape(len(ids), -1)
-            left, right = [], []
-            for i in range(len(ids) - 1):
-                end = int(np.searchsorted(n, n[i] / ratio, "right"))
-                j = np.arange(i + 1, end)
-                j = j[component[j] != component[i]]
-                if p[0] != q[0]:
-                    j = j[mine[j] != mine[i]]
-                if len(j):
-                    apart = np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64)
-                    sizes = n[j] + n[i]
-                    j = j[join.linked((sizes - apart) / 2, sizes)]
-                    left.append(np.full(len(j), ids[i]))
-                    right.append(ids[j])
-            if left:
-                a, b = np.concatenate(left), np.concatenate(right)
-                yield _batch([np.minimum(a, b), np.maximum(a, b)], [pa.int64(), pa.int64()], ["a", "b"])
+            columns = [batch.column(i).to_numpy() for i in range(7)]
+            start = len(columns[0])
+            while start and all(columns[i][start - 1] == columns[i][-1] for i in range(3)):
+                start -= 1
+            if start:
+                held.append([c[:start] for c in columns])
+                yield from pairs([np.concatenate(c) for c in zip(*held)])
+                held = []
+            elif held and any(held[-1][i][-1] != columns[i][0] for i in range(3)):
+                yield from pairs([np.concatenate(c) for c in zip(*held)])
+                held = []
+            held.append([c[start:] for c in columns])
+        if held:
+            yield from pairs([np.concatenate(c) for c in zip(*held)])
 
     placed = rows.repartition(tasks, "gram", "p", "q").sortWithinPartitions("gram", "p", "q", "n", "set_id")
-    return placed.mapInArrow(run, "a long, b long").distinct()
+    shared = placed.mapInArrow(run, "a long, b long, need long").groupBy("a", "b")
+    return shared.agg(F.count("*").alias("k"), F.first("need").alias("need")).filter("k >= need").select("a", "b")
 
 
 def near_duplicates(
@@ -429,25 +433,24 @@ def near_duplicates(
     frequent = np.sort(often["gram"].to_numpy(np.int64).view(np.uint64))
     boundary = _boundary(sets, join)
     lists = _lists(_entries(docs, join, boundary, frequent), tasks)
-    wanted = _bit_filter(lists.filter("NOT light").select("set_id"), join.filter_bits)
-    bodies = _bodies(docs, wanted, join)
-
     sure = lists.filter("light AND set_id <> head").select(F.col("set_id").alias("a"), F.col("head").alias("b"))
+    enough = join.head_share * (1 - join.percent / 100)
     shared = (
         lists.filter("NOT light AND set_id <> head")
         .groupBy(F.col("set_id").alias("b"), F.col("head").alias("a"))
-        .agg(F.count("*").alias("k"))
+        .agg(F.count("*").alias("k"), F.first("n").alias("n"))
+        .filter(F.col("k") >= enough * F.col("n"))
     )
     best = shared.groupBy("b").agg(
         F.slice(F.sort_array(F.collect_list(F.struct("k", "a")), asc=False), 1, join.heads).alias("heads")
     )
-    stars = best.select("b", F.explode("heads").alias("h")).select(F.col("h.a").alias("a"), "b")
-    edges = stored(_verified(stars, bodies, join, tasks).unionByName(sure), "stars")
+    stars = stored(best.select("b", F.explode("heads").alias("h")).select(F.col("h.a").alias("a"), "b"), "heads")
+    edges = stored(_verified(stars, docs, join, tasks).unionByName(sure), "stars")
     label = components(edges)
 
-    across = _verified(_across(lists, label, bodies, join, tasks), bodies, join, tasks)
-    more = stored(across, "across")
-    if not more.isEmpty():
+    across = stored(_across(lists, label, join, tasks), "across")
+    if not across.isEmpty():
+        more = stored(_verified(across, docs, join, tasks), "more")
         label = components(edges.unionByName(more))
 
     first = sets.filter("set_id IS NOT NULL").groupBy("set_id").agg(

@@ -18,6 +18,9 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+# Letters and digits in lower case; all other ASCII characters separate words.
+LETTERS = LOWER.copy()
+LETTERS[[b for b in range(128) if not chr(b).isalnum()]] = 32
 _BYTE = np.random.default_rng(20240501).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INVERSE = pow(_P, -1, 1 << 64)
@@ -68,34 +71,38 @@ class Chunk:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of every word."""
-        out = np.empty(len(self.starts), np.uint64)
+        return self.span_hashes(self.starts, self.ends)
+
+    def span_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of the bytes of each span; starts and ends must both ascend."""
+        out = np.empty(len(starts), np.uint64)
         at = 0
         while at < len(out):
-            base = self.starts[at]
-            to = max(at + 1, int(np.searchsorted(self.ends, base + CHUNK_BYTES, "right")))
-            part = self.data[base : self.ends[to - 1]]
+            base = starts[at]
+            to = max(at + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right")))
+            part = self.data[base : ends[to - 1]]
             if len(part) <= CHUNK_BYTES:
                 power, inverse = _POWER, _INVERSE
             else:  # one word longer than a chunk
                 power, inverse = _powers(_P, len(part) + 1), _powers(_P_INVERSE, 1)
             sums = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(_BYTE[part] * power[: len(part)], dtype=np.uint64, out=sums[1:])
-            s, e = self.starts[at:to] - base, self.ends[at:to] - base
+            s, e = starts[at:to] - base, ends[at:to] - base
             out[at:to] = (sums[e] - sums[s]) * inverse[s]
             at = to
-        return mix(out ^ (self.ends - self.starts).astype(np.uint64))
+        return mix(out ^ (ends - starts).astype(np.uint64))
 
 
-def chunks(column: pa.Array, lower: bool = False) -> Iterator[Chunk]:
-    """Cut a text column into chunks of whole rows."""
+def chunks(column: pa.Array, table: np.ndarray | None = None) -> Iterator[Chunk]:
+    """Cut a text column into chunks of whole rows, with bytes replaced by a table if there is one."""
     data, offsets = utf8(column)
     n, row = len(offsets) - 1, 0
     while row < n:
         to = max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK_BYTES, "right")) - 1)
         part = data[offsets[row] : offsets[to]]
         own = offsets[row : to + 1] - offsets[row]
-        if lower:
-            part = LOWER[part]
+        if table is not None:
+            part = table[part]
         letter = ~_IS_SPACE[part]
         edge = np.zeros(len(part) + 1, bool)
         edge[own] = True
