@@ -174,7 +174,10 @@ def _listed(boundary: int, join: Join) -> range:
 
 
 def _entries(docs: DataFrame, join: Join, boundary: int, frequent: np.ndarray) -> DataFrame:
-    """List entries (light, gram, set_id, n) of every set: subsets or prefix n-grams."""
+    """List entries (light, gram, set_id, n) of every set: subsets or prefix n-grams.
+
+    A subset's key is made with both sizes of the pair it is for; its last bit tells if they are equal.
+    """
     names, types = ["light", "gram", "set_id", "n"], [pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
     listed = _listed(boundary, join)
 
@@ -187,7 +190,7 @@ def _entries(docs: DataFrame, join: Join, boundary: int, frequent: np.ndarray) -
                 key = np.full(len(many), np.uint64(min(n, m) * 64 + max(n, m)))
                 for column in many.T:
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
-                keys.append(key)
+                keys.append(key & ~np.uint64(1) | np.uint64(n == m))
         return np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
 
     def prefix(grams: np.ndarray) -> np.ndarray:
@@ -260,6 +263,23 @@ def _lists(entries: DataFrame, tasks: int) -> DataFrame:
     return stored(placed.mapInArrow(run, "light boolean, gram long, set_id long, n long, head long"), "lists")
 
 
+def _sure(light: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the light sets of every list.
+
+    Where a list is for two different sizes, only sets of different sizes are linked: each is joined
+    to the first set of the other size, if there is one.
+    """
+    same = F.col("gram").bitwiseAND(F.lit(1)) == 1
+    alike = light.filter(same & (F.col("set_id") != F.col("head"))).select(F.col("set_id").alias("a"), F.col("head").alias("b"))
+    mixed = light.filter(~same)
+    ends = mixed.groupBy("gram").agg(
+        F.min(F.struct("n", "set_id")).alias("lo"), F.min(F.struct(-F.col("n"), "set_id")).alias("hi")
+    )
+    ends = ends.filter(F.col("lo.n") < -F.col("hi.col1"))
+    other = F.when(F.col("n") == F.col("lo.n"), F.col("hi.set_id")).otherwise(F.col("lo.set_id"))
+    return alike.unionByName(mixed.join(ends, "gram").select(F.col("set_id").alias("a"), other.alias("b")))
+
+
 def _bit_filter(ids: DataFrame, bits: int) -> np.ndarray:
     """A bit for the remainder of every id: ``bits`` / 8 bytes, whatever the number of ids."""
 
@@ -433,7 +453,7 @@ def near_duplicates(
     frequent = np.sort(often["gram"].to_numpy(np.int64).view(np.uint64))
     boundary = _boundary(sets, join)
     lists = _lists(_entries(docs, join, boundary, frequent), tasks)
-    sure = lists.filter("light AND set_id <> head").select(F.col("set_id").alias("a"), F.col("head").alias("b"))
+    sure = _sure(lists.filter("light"))
     enough = join.head_share * (1 - join.percent / 100)
     shared = (
         lists.filter("NOT light AND set_id <> head")
