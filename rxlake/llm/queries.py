@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import jaccard, mixing, packing, pii, quality_fm, quality_rules, warc, winnowing
+from rxlake.llm import (
+    jaccard,
+    mixing,
+    packing,
+    pii,
+    quality_fm,
+    quality_rules,
+    span_dedup,
+    toxicity,
+    warc,
+    winnowing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +47,23 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOXIC_CUT = 0.3
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity, grade and verdict of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.grade(docs, model).select(
+        "doc_id",
+        quality_fm.held_out(F.col("doc_id")).alias("held_out"),
+        "severity",
+        "grade",
+        "toxic_probability",
+        (F.col("toxic_probability") >= TOXIC_CUT).cast("int").alias("toxic"),
+    )
+
+
 TOKENIZER_FILE = "word_bpe_49k.json"
 
 
@@ -62,6 +90,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.summary(warc.read_bundles(index))
 
 
+def op7_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less the passages that an earlier one has."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return span_dedup.remove_repeats(docs)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document a mix of all sources takes."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
@@ -81,9 +115,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
         "op2_quality": op2_quality,
+        "op3_toxicity": op3_toxicity,
         "op4_packing": op4_packing,
         "op5_winnowing": op5_winnowing,
         "op6_warc": op6_warc,
+        "op7_span_dedup": op7_span_dedup,
         "op8_mixing": op8_mixing,
         "op9_rules": op9_rules,
         "op10_jaccard": op10_jaccard,

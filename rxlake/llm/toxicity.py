@@ -190,5 +190,6 @@ def grade(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             columns = [pa.array(above.sum(1)), pa.array(likeliest), pa.array(above[:, 0])]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*keep, *made])
 
-    schema = df.select(*keep).schema.add("severity", "double").add("grade", "int").add("toxic_probability", "double")
+    schema = df.select(*keep).schema.add("severity", "double").add("grade", "integer")
+    schema = schema.add("toxic_probability", "double")
     return df.select(*keep).mapInArrow(run, schema)

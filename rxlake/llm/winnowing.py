@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rxlake.llm.words import mix
 
@@ -117,7 +118,8 @@ def fingerprints(df: DataFrame, text: str = "text", settings: Winnowing = Winnow
                 places = pa.array([p for _, p in got], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, hashes, places], [*keep, *made])
 
-    schema = df.select(*keep).schema.add("fp_hashes", "array<long>").add("fp_positions", "array<long>")
+    schema = df.select(*keep).schema.add("fp_hashes", T.ArrayType(T.LongType()))
+    schema = schema.add("fp_positions", T.ArrayType(T.LongType()))
     return df.select(*keep).mapInArrow(run, schema)
 
 

@@ -36,6 +36,13 @@ _POWER = _powers(_P, CHUNK_BYTES + 1)
 _INVERSE = _powers(_P_INVERSE, CHUNK_BYTES + 1)
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base from 0 to n, at least, and of its inverse."""
+    if n <= CHUNK_BYTES:
+        return _POWER, _INVERSE
+    return _powers(_P, n + 1), _powers(_P_INVERSE, n + 1)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes."""
     h = h ^ (h >> np.uint64(33))
@@ -81,10 +88,7 @@ class Chunk:
             base = starts[at]
             to = max(at + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right")))
             part = self.data[base : ends[to - 1]]
-            if len(part) <= CHUNK_BYTES:
-                power, inverse = _POWER, _INVERSE
-            else:  # one word longer than a chunk
-                power, inverse = _powers(_P, len(part) + 1), _powers(_P_INVERSE, 1)
+            power, inverse = powers(len(part))
             sums = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(_BYTE[part] * power[: len(part)], dtype=np.uint64, out=sums[1:])
             s, e = starts[at:to] - base, ends[at:to] - base
