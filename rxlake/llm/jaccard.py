@@ -13,8 +13,11 @@ Sets are told apart by size, with the boundary where the estimated cost of both
   work.
 
 Only connections count, so pairs inside a group are not enumerated. Each set is first compared with
-the heads of the lists it shares most n-grams with, and what is linked becomes one component. Then
-all pairs that share enough lists and lie in different components are compared in full. Long lists
+the heads of the lists it shares most n-grams with; a list's head is the set with most frequent
+n-grams, as the least edited copy of a text is the one most others are linked with. What is linked
+becomes one component. Then all pairs in a list that lie in different components are checked: first
+by parity sketches, which bound the difference of two sets from below, then in full, the most promising
+partners of each set before the others, so that the rest need not be compared if these are linked. Long lists
 are cut into blocks, and pairs of blocks are tasks of their own.
 
 Documents with equal sets are one set from the start. N-grams and sets are told apart by 64-bit
@@ -36,7 +39,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlake.llm.components import components
@@ -58,6 +61,8 @@ class Join:
     heads: int = 2
     head_share: float = 0.3  # of the prefix that is worth comparing a set with a list's head
     block: int = 2048  # rows of a list that are paired at a time
+    sketch_bits: int = 2048
+    partners_first: int = 2  # of a set that are compared before all others
 
     def overlap(self, a: int, b: int) -> int:
         """The smallest common part of linked sets of these sizes."""
@@ -81,6 +86,9 @@ class Join:
         return sum(comb(n, self.overlap(n, m)) for m in self.partners(n) if m <= boundary)
 
 
+_MOST = (1 << 31) - 1
+
+
 def row_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each row with its sorted distinct n-gram hashes."""
     factors = mix(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
@@ -115,11 +123,19 @@ def _batch(columns: list, types: list, names: list[str]) -> pa.RecordBatch:
 
 
 def _sets(docs: DataFrame, join: Join) -> DataFrame:
-    """A row (doc_id, n, set_id) per document, and (gram, times) rows of often seen n-grams."""
-    names = ["doc_id", "n", "set_id", "gram", "times"]
+    """A row (doc_id, n, set_id, sketch) per document, and (gram, times) rows of often seen n-grams.
+
+    A sketch has the parity of the n-grams that fall on each of its bits.
+    """
+    names = ["doc_id", "n", "set_id", "gram", "times", "sketch"]
     schema = docs.select("doc_id").schema
-    for name in names[1:]:
+    for name in names[1:5]:
         schema = schema.add(name, "long")
+    schema = schema.add("sketch", "binary")
+
+    def sketch(grams: np.ndarray) -> bytes:
+        place = (grams % np.uint64(join.sketch_bits)).astype(np.int64)
+        return np.packbits(np.bincount(place, minlength=join.sketch_bits).astype(np.uint8) & 1).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -130,15 +146,16 @@ def _sets(docs: DataFrame, join: Join) -> DataFrame:
             grams, times = grams[times >= join.count_least], times[times >= join.count_least]
             n = len(grams)
             columns = [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
-            columns += [pa.array(grams.view(np.int64)), pa.array(times.astype(np.int64))]
+            columns += [pa.array(grams.view(np.int64)), pa.array(times.astype(np.int64)), pa.nulls(n, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
             id_type = batch.column(0).type
-            sizes, ids = [], []
+            sizes, ids, sketches = [], [], []
             for _, grams in row_sets(batch.column(1), join.words):
                 sizes.append(len(grams))
                 ids.append(_set_id(grams) if len(grams) else None)
+                sketches.append(sketch(grams) if len(grams) else None)
                 if len(grams) and ids[-1] not in seen:
                     seen.add(ids[-1])
                     held.append(grams)
@@ -148,6 +165,7 @@ def _sets(docs: DataFrame, join: Join) -> DataFrame:
                         held, total = [], 0
             none = pa.nulls(batch.num_rows, pa.int64())
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), none, none]
+            columns.append(pa.array(sketches, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names)
         if held:
             yield often()
@@ -174,11 +192,11 @@ def _listed(boundary: int, join: Join) -> range:
 
 
 def _entries(docs: DataFrame, join: Join, boundary: int, frequent: np.ndarray) -> DataFrame:
-    """List entries (light, gram, set_id, n) of every set: subsets or prefix n-grams.
+    """List entries (light, gram, set_id, ranked) of every set: subsets or prefix n-grams.
 
-    A subset's key is made with both sizes of the pair it is for; its last bit tells if they are equal.
+    ``ranked`` is the size, below a number that is smaller the more frequent n-grams the set has. A subset's key is made with both sizes of the pair it is for; its last bit tells if they are equal.
     """
-    names, types = ["light", "gram", "set_id", "n"], [pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
+    names, types = ["light", "gram", "set_id", "ranked"], [pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
     listed = _listed(boundary, join)
 
     def subsets(grams: np.ndarray) -> list[int]:
@@ -193,12 +211,13 @@ def _entries(docs: DataFrame, join: Join, boundary: int, frequent: np.ndarray) -
                 keys.append(key & ~np.uint64(1) | np.uint64(n == m))
         return np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
 
-    def prefix(grams: np.ndarray) -> np.ndarray:
+    def prefix(grams: np.ndarray) -> tuple[np.ndarray, int]:
         at = np.searchsorted(frequent, grams)
         common = np.zeros(len(grams), bool)
         if len(frequent):
             common = frequent[np.minimum(at, len(frequent) - 1)] == grams
-        return np.concatenate([grams[~common], grams[common]])[: join.prefix(len(grams))]
+        first = np.concatenate([grams[~common], grams[common]])[: join.prefix(len(grams))]
+        return first, int(common.sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -214,21 +233,22 @@ def _entries(docs: DataFrame, join: Join, boundary: int, frequent: np.ndarray) -
                     if n <= boundary:
                         parts.append((True, subsets(grams), key, n))
                     if n in listed:
-                        parts.append((False, prefix(grams), key, n))
+                        first, common = prefix(grams)
+                        parts.append((False, first, key, _MOST - common << 32 | n))
                 if parts:
                     sizes = [len(p[1]) for p in parts]
                     columns = [np.repeat([p[i] for p in parts], sizes) for i in (0, 2, 3)]
                     grams = np.concatenate([p[1] for p in parts]).view(np.int64)
                     yield _batch([columns[0], grams, columns[1], columns[2]], types, names)
 
-    return docs.select("text").mapInArrow(run, "light boolean, gram long, set_id long, n long")
+    return docs.select("text").mapInArrow(run, "light boolean, gram long, set_id long, ranked long")
 
 
 def _lists(entries: DataFrame, tasks: int) -> DataFrame:
     """Entries of lists with at least two sets, each with the list's first set as ``head``."""
     names = ["light", "gram", "set_id", "n", "head"]
     types = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    columns = ("light", "gram", "set_id", "n")
+    columns = ("light", "gram", "set_id", "ranked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last row seen, its list's head, and whether it has been given out.
@@ -257,9 +277,10 @@ def _lists(entries: DataFrame, tasks: int) -> DataFrame:
             head = heads[-1]
             given = bool(out[-1]) or (len(ids) == 1 and was_given)
             if out.any():
+                n = n & 0xFFFFFFFF
                 yield _batch([x[out] for x in (light, gram, ids, n, heads)], types, names)
 
-    placed = entries.repartition(tasks, "gram").sortWithinPartitions("gram", "light", "set_id")
+    placed = entries.repartition(tasks, "gram").sortWithinPartitions("gram", "light", "ranked", "set_id")
     return stored(placed.mapInArrow(run, "light boolean, gram long, set_id long, n long, head long"), "lists")
 
 
@@ -365,16 +386,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, join: Join, tasks: int, salts:
     return placed.mapInArrow(run, "a long, b long")
 
 
-def _across(lists: DataFrame, label: DataFrame, join: Join, tasks: int) -> DataFrame:
-    """Pairs (a, b) in different components that share as many lists as linked sets do."""
+def _across(lists: DataFrame, label: DataFrame, sets: DataFrame, join: Join, tasks: int) -> DataFrame:
+    """Pairs (a, b) in different components that no count or sketch rules out, with their least difference."""
+    sketches = sets.select("set_id", "sketch").dropDuplicates(["set_id"])
     entries = lists.filter("NOT light")
     # A set that stands in too few lists is linked with none, whatever its partner's size.
-    sets = entries.groupBy("set_id").agg(F.count("*").alias("k"), F.first("n").alias("n"))
+    open_sets = entries.groupBy("set_id").agg(F.count("*").alias("k"), F.first("n").alias("n"))
     smallest = F.ceil(join.percent * F.col("n") / 100)
-    sets = sets.filter(F.col("k") >= 1 + F.floor(smallest / join.more)).select("set_id")
-    sets = sets.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
-    sets = sets.withColumn("component", F.coalesce("component", "set_id"))
-    rows = stored(entries.join(sets, "set_id").select("gram", "set_id", "n", "component"), "open")
+    open_sets = open_sets.filter(F.col("k") >= 1 + F.floor(smallest / join.more)).select("set_id")
+    open_sets = open_sets.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
+    open_sets = open_sets.withColumn("component", F.coalesce("component", "set_id"))
+    rows = stored(entries.join(open_sets, "set_id").select("gram", "set_id", "n", "component"), "open")
     mixed = (
         rows.groupBy("gram")
         .agg(F.count("*").alias("k"), F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -390,11 +412,12 @@ def _across(lists: DataFrame, label: DataFrame, join: Join, tasks: int) -> DataF
         F.greatest("mine", "other").alias("q"),
         "n", "set_id", "mine", "component",
     )
-    names, types = ["a", "b", "need"], [pa.int64()] * 3
+    rows = rows.join(sketches, "set_id").select("gram", "p", "q", "n", "set_id", "mine", "component", "sketch")
+    names, types = ["a", "b", "apart"], [pa.int64()] * 3
 
     def pairs(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         """All pairs of whole lists: each row with the next, then with the one after, and so on."""
-        gram, p, q, n, ids, mine, component = columns
+        gram, p, q, n, ids, mine, component, sketch = columns
         new = np.ones(len(gram), bool)
         new[1:] = (gram[1:] != gram[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
         first = np.flatnonzero(new)
@@ -409,8 +432,11 @@ def _across(lists: DataFrame, label: DataFrame, join: Join, tasks: int) -> DataF
             meet = (component[row] != component[to]) & ((p[row] == q[row]) | (mine[row] != mine[to]))
             if meet.any():
                 x, y = row[meet], to[meet]
-                need = 1 + np.minimum(n[x], n[y]) // join.more
-                yield _batch([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]), need], types, names)
+                least = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
+                near = join.linked((n[x] + n[y] - least) / 2, n[x] + n[y])
+                if near.any():
+                    x, y, least = ids[x[near]], ids[y[near]], least[near]
+                    yield _batch([np.minimum(x, y), np.maximum(x, y), least], types, names)
             apart += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,6 +445,8 @@ def _across(lists: DataFrame, label: DataFrame, join: Join, tasks: int) -> DataF
             if not batch.num_rows:
                 continue
             columns = [batch.column(i).to_numpy() for i in range(7)]
+            bits = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64)
+            columns.append(bits.reshape(batch.num_rows, -1))
             start = len(columns[0])
             while start and all(columns[i][start - 1] == columns[i][-1] for i in range(3)):
                 start -= 1
@@ -434,8 +462,8 @@ def _across(lists: DataFrame, label: DataFrame, join: Join, tasks: int) -> DataF
             yield from pairs([np.concatenate(c) for c in zip(*held)])
 
     placed = rows.repartition(tasks, "gram", "p", "q").sortWithinPartitions("gram", "p", "q", "n", "set_id")
-    shared = placed.mapInArrow(run, "a long, b long, need long").groupBy("a", "b")
-    return shared.agg(F.count("*").alias("k"), F.first("need").alias("need")).filter("k >= need").select("a", "b")
+    shared = placed.mapInArrow(run, "a long, b long, apart long").groupBy("a", "b")
+    return shared.agg(F.first("apart").alias("apart"))
 
 
 def near_duplicates(
@@ -446,7 +474,7 @@ def near_duplicates(
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     both = _sets(docs, join)
-    sets = both.filter("gram IS NULL").select("doc_id", "n", "set_id")
+    sets = both.filter("gram IS NULL").select("doc_id", "n", "set_id", "sketch")
     # At most ``frequent`` n-grams come to the driver and go out with the tasks.
     often = both.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("times").alias("times"))
     often = often.orderBy(F.desc("times"), "gram").limit(join.frequent).select("gram").toPandas()
@@ -468,10 +496,22 @@ def near_duplicates(
     edges = stored(_verified(stars, docs, join, tasks).unionByName(sure), "stars")
     label = components(edges)
 
-    across = stored(_across(lists, label, join, tasks), "across")
+    across = stored(_across(lists, label, sets, join, tasks), "across")
     if not across.isEmpty():
-        more = stored(_verified(across, docs, join, tasks), "more")
-        label = components(edges.unionByName(more))
+        # The nearest partners of every set, then whatever still lies in different components.
+        ends = across.select("a", "b", "apart", F.explode(F.array("a", "b")).alias("own"))
+        place = F.row_number().over(Window.partitionBy("own").orderBy("apart", "a", "b"))
+        near = ends.withColumn("place", place).filter(F.col("place") <= join.partners_first)
+        near = stored(near.select("a", "b").distinct(), "near")
+        edges = stored(edges.unionByName(_verified(near, docs, join, tasks)), "edges")
+        label = components(edges)
+        rest = across.select("a", "b").join(near, ["a", "b"], "left_anti")
+        for end in ("a", "b"):
+            of = label.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
+            rest = rest.join(of, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+        rest = stored(rest.filter("_a <> _b").select("a", "b"), "rest")
+        if not rest.isEmpty():
+            label = components(edges.unionByName(_verified(rest, docs, join, tasks)))
 
     first = sets.filter("set_id IS NOT NULL").groupBy("set_id").agg(
         F.min("doc_id").alias("first"), F.count("*").alias("k")
@@ -484,7 +524,7 @@ def near_duplicates(
     # A set that very many documents have is spread over several tasks.
     salts = 16
     names = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = sets.withColumn("_salt", F.pmod(F.hash("doc_id"), F.lit(salts)))
+    rows = sets.drop("sketch").withColumn("_salt", F.pmod(F.hash("doc_id"), F.lit(salts)))
     return rows.join(names, ["set_id", "_salt"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
