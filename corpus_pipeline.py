@@ -1,13 +1,88 @@
-"""The corpus pipeline: stages that each take and return the documents table."""
+"""The corpus pipeline: stages that each take and return the documents table.
+
+1. quality: documents that the quality classifier rejects go.
+2. near_duplicates: of each group of near-duplicate documents the first stays.
+3. pii: personal data in the texts is replaced by its kind in brackets.
+4. mixing: documents are repeated or left out so that sources reach their target weights.
+5. packing: all documents' tokens in sequences of at most 4096.
+
+Defined results: a stage that finds an empty table returns one. The mix tells repeats of a document
+apart by nothing but their row, as they are the same document taken again. A document without text is
+scored like any other and, if it stays, is packed as its end token.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rxlake.llm import jaccard, mixing, packing, pii, quality_fm
+from rxlake.llm.queries import QUALITY_CUT, tokenizer_path
+from rxlake.sources.scratch import scratch_path, stored
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score of at least the cut, by a model of the labelled ones among them."""
+    model = quality_fm.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality_fm.score(docs.select(*COLUMNS), model, out="_score")
+    return scored.filter(F.col("_score") >= QUALITY_CUT).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group.
+
+    Rows equal in id and text become one. Rows without an id or without words stand for themselves
+    and stay.
+    """
+    docs = docs.select(*COLUMNS)
+    groups = stored(jaccard.near_duplicates(docs), "groups")
+    others = groups.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    kept = docs.join(others, "doc_id", "left_anti").select(*COLUMNS)
+    repeated = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = stored(repeated, "repeated")
+    if repeated.isEmpty():
+        return kept
+    again = kept.join(repeated, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(again)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced in their texts."""
+    clean = pii.redact(docs.select(*COLUMNS))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    taken = mixing.mix_sources(docs.select(*COLUMNS), keep=COLUMNS)
+    taken = taken.filter("copies > 0")
+    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of training sequences."""
+    return packing.pack(docs, tokenizer_path)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("pii", personal_data),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
-STAGES: list = []
+# A fitted classifier, the landing of a sampling and a tokenizer are not expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to the documents of a folder, one stored table after each."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages applied to the documents of a folder, each one's rows stored for the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = scratch_path(spark, "pipeline")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs
