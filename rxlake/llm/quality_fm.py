@@ -39,6 +39,7 @@ class Settings:
     factors: int = 8
     epochs: int = 6
     batch: int = 128
+    least_steps: int = 500  # of all epochs together, so small samples are gone through more often
     rate: float = 0.08
     decay: float = 1e-5
     max_rows: int = 12_000
@@ -184,7 +185,7 @@ def fit_arrays(column: pa.Array, label: np.ndarray, settings: Settings) -> Model
     v = rng.normal(0, 0.03, (buckets + k, settings.factors))
     bias = float(np.log((label.sum() + 1) / (n - label.sum() + 1)))
     gw, gv, gb = np.full(len(w), 1e-2), np.full(v.shape, 1e-2), 1e-2
-    for _ in range(settings.epochs):
+    for _ in range(max(settings.epochs, -(-settings.least_steps * settings.batch // n))):
         order = rng.permutation(n)
         for at in range(0, n, settings.batch):
             some = order[at : at + settings.batch]
