@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-_DIGITS = "^[0-9]{1,11}$"
-_THREE_PARTS = "^([^-]*)-([^-]*)-([^-]*)$"
+_DIGITS = r"\A[0-9]{1,11}\z"
+_THREE_PARTS = r"\A([^-]*)-([^-]*)-([^-]*)\z"
 # Put a full pad before each part, then take off what is more than the part needs. Longer
 # parts are never cut.
 _PADDED = "00000$1-0000$2-00$3"
-_EXCESS = "^0{0,5}([^-]{5,})-0{0,4}([^-]{4,})-0{0,2}([^-]{2,})$"
+_EXCESS = r"\A0{0,5}([^-]{5,})-0{0,4}([^-]{4,})-0{0,2}([^-]{2,})\z"
+# Blanks are dropped everywhere, other white space of Unicode at the ends.
+_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_EDGES = rf"\A{_SPACE}+|{_SPACE}+\z"
 
 
 def _clean(raw: Column) -> Column:
-    return F.btrim(
-        F.replace(raw.cast("string"), F.lit(" "), F.lit("")), F.lit("\t\n\r\f\x0b")
-    )
+    return F.regexp_replace(F.replace(raw.cast("string"), F.lit(" "), F.lit("")), _EDGES, "")
 
 
 def readable_code(raw: Column) -> Column:
@@ -28,8 +29,7 @@ def normalize_code(raw: Column) -> Column:
     """11-digit code for ``raw``, NULL when it cannot be read.
 
     Hyphenated codes need three parts, padded to 5, 4 and 2. Ten bare digits are read
-    as 5-4-1, fewer are padded on the left. Digits and whitespace are ASCII only, and a
-    leading ``+`` or ``-`` is not a sign.
+    as 5-4-1, fewer are padded on the left. Digits are ASCII only, and a ``+`` or ``-`` is not a sign.
     """
     text = _clean(raw)
     padded = F.regexp_replace(
@@ -43,16 +43,17 @@ def normalize_code(raw: Column) -> Column:
 
 def register_sql_function(spark: SparkSession, name: str = "normalize_ndc") -> None:
     """Make the normalizer callable from SQL, as an inlined SQL function (no Python)."""
-    text = r"btrim(replace(code, ' ', ''), '\t\n\r\f\u000B')"
+    digits, parts, excess, edges = (p.replace("\\", "\\\\") for p in (_DIGITS, _THREE_PARTS, _EXCESS, _EDGES))
+    text = f"regexp_replace(replace(code, ' ', ''), '{edges}', '')"
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(code STRING) RETURNS STRING RETURN
         CASE
-          WHEN {text} RLIKE '{_DIGITS}' THEN
+          WHEN {text} RLIKE '{digits}' THEN
             CASE WHEN length({text}) = 10 THEN overlay({text} PLACING '0' FROM 10 FOR 0)
                  ELSE lpad({text}, 11, '0') END
-          WHEN {text} RLIKE '{_THREE_PARTS}' THEN
-            regexp_replace(regexp_replace({text}, '{_THREE_PARTS}', '{_PADDED}'),
-                           '{_EXCESS}', '$1$2$3')
+          WHEN {text} RLIKE '{parts}' THEN
+            regexp_replace(regexp_replace({text}, '{parts}', '{_PADDED}'),
+                           '{excess}', '$1$2$3')
         END"""
     )

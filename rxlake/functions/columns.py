@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY_SCALE = 2
-PRICE_SCALE = 6
+EXACT = "decimal(28,10)"
 
 
 def _col(c: Column | str) -> Column:
@@ -48,28 +47,18 @@ def total(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
-def exact_sum(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """Sum to ``scale`` decimals, as double: the same whatever the partitioning.
+def exact_sum(c: Column | str) -> Column:
+    """Sum as double, the same whatever the partitioning.
 
-    Values are added up as whole numbers of the smallest unit. Overflow raises an error.
+    Values are added up as decimals of ten places, which holds amounts and prices as they are
+    read; only what a double's text would show beyond that is cut. Overflow raises an error.
     """
-    units = F.rint(_col(c) * 10**scale).cast("bigint")
-    if scale > 3:  # too little room in a bigint for many finely divided values
-        units = units.cast("decimal(19,0)")
-    return F.sum(units).cast("double") / 10.0**scale
+    return F.sum(_col(c).cast(EXACT)).cast("double")
 
 
-def exact_avg(c: Column | str, scale: int = MONEY_SCALE) -> Column:
+def exact_avg(c: Column | str) -> Column:
     """Mean on an exact sum; NULL when nothing is counted."""
-    return F.try_divide(exact_sum(c, scale), F.count(_col(c)))
-
-
-def price_sum(c: Column | str) -> Column:
-    return exact_sum(c, PRICE_SCALE)
-
-
-def price_avg(c: Column | str) -> Column:
-    return exact_avg(c, PRICE_SCALE)
+    return F.try_divide(exact_sum(c), F.count(_col(c)))
 
 
 def guarded_ratio(num: Column | str, den: Column | str) -> Column:
@@ -81,12 +70,6 @@ def share_pct(num: Column | str, den: Column | str, digits: int = 1) -> Column:
     return F.when(_col(den) > 0, F.round(_col(num) / _col(den) * 100, digits))
 
 
-def rounded(c: Column | str, digits: int = 2) -> Column:
-    """Round; a column given by name keeps its name."""
-    out = F.round(_col(c), digits)
-    return out.alias(c) if isinstance(c, str) else out
-
-
 def snake_case_columns(df: DataFrame) -> DataFrame:
     """Lower-case every column name, with spaces and hyphens as underscores."""
     return df.toDF(*[c.lower().replace(" ", "_").replace("-", "_") for c in df.columns])

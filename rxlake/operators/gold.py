@@ -9,11 +9,11 @@ from rxlake.functions.columns import (
     exact_avg,
     exact_sum,
     guarded_ratio,
-    price_avg,
     share_pct,
 )
-from rxlake.operators.keyed import ascending, first_per_key
+from rxlake.operators.keyed import ascending, exact_quantile, first_per_key
 
+# The names of the tiers, and below the output column names of all tables.
 HIGH_COST = "high_cost_top_10pct"
 STANDARD = "standard"
 
@@ -47,7 +47,7 @@ def claims_by_drug(fills: DataFrame) -> DataFrame:
         exact_sum("payer_paid_amount").alias("total_payer_paid"),
         exact_avg("total_rx_cost").alias("avg_claim_cost"),
         exact_avg("patient_pay_amount").alias("avg_patient_pay"),
-        exact_avg("quantity_dispensed", 3).alias("avg_quantity"),
+        exact_avg("quantity_dispensed").alias("avg_quantity"),
         F.avg("days_supply").alias("avg_days_supply"),
     )
 
@@ -116,7 +116,8 @@ def patient_fill_summary(fills: DataFrame) -> DataFrame:
         F.sum("days_supply").alias("total_days_supply"),
         F.min("service_date").alias("first_fill_date"),
         F.max("service_date").alias("last_fill_date"),
-        F.count_distinct("service_year").alias("active_years"),
+        # A set of few years, as a second distinct count would triple every fill.
+        F.size(F.collect_set("service_year")).cast("long").alias("active_years"),
     )
 
 
@@ -187,7 +188,7 @@ def monthly_prices(pricing: DataFrame) -> DataFrame:
             F.month("effective_date").alias("month"),
         )
         .agg(
-            price_avg("nadac_per_unit").alias("avg_nadac_per_unit"),
+            exact_avg("nadac_per_unit").alias("avg_nadac_per_unit"),
             F.min("nadac_per_unit").alias("min_nadac_per_unit"),
             F.max("nadac_per_unit").alias("max_nadac_per_unit"),
             F.count("*").alias("price_observations"),
@@ -213,7 +214,7 @@ def monthly_claims(fills: DataFrame) -> DataFrame:
             F.count("*").alias("claim_count"),
             exact_avg("total_rx_cost").alias("avg_claim_cost"),
             exact_avg("patient_pay_amount").alias("avg_patient_pay"),
-            exact_sum("quantity_dispensed", 3).alias("total_units"),
+            exact_sum("quantity_dispensed").alias("total_units"),
         )
         .withColumn(
             "avg_cost_per_unit",
@@ -266,16 +267,17 @@ def outpatient_util(claims: DataFrame) -> DataFrame:
     )
 
 
-def spend_threshold(utilization: DataFrame, q: float = 0.9, accuracy: int = 100_000) -> Column:
-    """The spend percentile as a scalar subquery: one sketch, rank error 1/accuracy."""
-    return utilization.agg(
-        F.percentile_approx("total_rx_spend", q, accuracy).alias("threshold")
-    ).scalar()
+def spend_threshold(utilization: DataFrame, q: float = 0.9) -> Column:
+    """The exact spend percentile as a scalar subquery."""
+    return exact_quantile(utilization, [], "total_rx_spend", q).select("total_rx_spend").scalar()
 
 
-def spend_tiers(utilization: DataFrame, q: float = 0.9, accuracy: int = 100_000) -> DataFrame:
-    """Mark patients at or above the spend percentile; NULL spend counts as standard."""
-    high = F.col("total_rx_spend") >= spend_threshold(utilization, q, accuracy)
+def spend_tiers(utilization: DataFrame, q: float = 0.9) -> DataFrame:
+    """Mark patients at or above the spend percentile; NULL spend counts as standard.
+
+    The table is read several times; store it first if it is a costly one.
+    """
+    high = F.col("total_rx_spend") >= spend_threshold(utilization, q)
     return utilization.withColumn("spend_tier", F.when(high, HIGH_COST).otherwise(STANDARD))
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rxlake.sources.scratch import shared_folder, stored
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first in ``order`` (which must be total over the group).
@@ -24,31 +24,23 @@ def ascending(columns: list[str]) -> list[Column]:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only a local session may get a temporary one."""
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if configured:
-        if current is None or not current.startswith(configured.rstrip("/")):
-            context.setCheckpointDir(configured)
-    elif current is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="rxlake-checkpoint-"))
-    return context.getCheckpointDir()
+    """Point checkpoints at the folder that all executors share."""
+    wanted, current = shared_folder(spark), spark.sparkContext.getCheckpointDir()
+    if current is None or not f"{current}/".startswith(f"{wanted}/"):
+        spark.sparkContext.setCheckpointDir(wanted)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def with_global_rank(df: DataFrame, order: list[Column]) -> DataFrame:
     """Add ``_rank`` (1-based position in ``order``) and ``_total`` to every row.
 
     Range-sorts the rows, so equal or skewed sort values still spread over all tasks as
-    long as ``order`` is total. The sorted rows are checkpointed, so the partition sizes
+    long as ``order`` is total. The sorted rows are stored, so the partition sizes
     and the positions inside them come from one and the same run even if a task is redone.
     Only one row per partition is broadcast.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     placed = df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id())
-    placed = placed.checkpoint()
+    placed = stored(placed, "placed")
     chunk = F.shiftright("_place", 33)
     sizes = placed.groupBy(chunk.alias("_chunk")).agg(F.count("*").alias("_size"))
     # One row per partition, so these windows over the whole frame stay tiny.
@@ -78,3 +70,52 @@ def ntile_of_rank(n: int) -> Column:
         f"CAST(1 + CASE WHEN _rank <= {head} THEN (_rank - 1) div ({size} + 1) "
         f"ELSE {longer} + (_rank - 1 - {head}) div greatest({size}, 1L) END AS INT)"
     )
+
+
+def exact_quantile(
+    df: DataFrame, groups: list[str], value: str, q: float, slices: int = 1024, few: int = 10_000
+) -> DataFrame:
+    """The value at place ceil(q * n) of each group's known values, with no task per group.
+
+    Values are counted first. Then the range that holds the place is cut into slices by value
+    and narrowed to one of them, until few distinct values are left of every group. A round is
+    one aggregation of at most ``slices`` rows per group, whatever the number of values.
+    """
+    keys = [f"_g{i}" for i in range(max(len(groups), 1))]
+    named = [F.col(g).alias(k) for g, k in zip(groups, keys)] or [F.lit(0).alias(keys[0])]
+    counted = df.filter(F.col(value).isNotNull()).select(*named, F.col(value).alias("_v"))
+    counted = stored(counted.groupBy(*keys, "_v").agg(F.count("*").alias("_n")), "counted")
+    total = F.sum("_n")
+    place = F.greatest(F.lit(1), total - F.floor(total - q * total)).cast("long")
+    upto = Window.partitionBy(*keys)
+    wanted = counted.groupBy(*keys).agg(place.alias("_place"))
+    while True:
+        bounds = counted.groupBy(*keys).agg(
+            F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_k")
+        )
+        wanted = stored(_null_safe(wanted, bounds, keys), "wanted")
+        if (wanted.agg(F.max("_k")).first()[0] or 0) <= few:
+            break
+        wide = F.when(F.col("_hi") > F.col("_lo"), (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")))
+        sliced = _null_safe(counted, wanted, keys).withColumn(
+            "_slice", F.floor(F.coalesce(wide, F.lit(0.0)) * slices)
+        )
+        sums = sliced.groupBy(*keys, "_place", "_slice").agg(F.sum("_n").alias("_s"))
+        sums = sums.withColumn("_end", F.sum("_s").over(upto.orderBy("_slice")))
+        hit = sums.filter((F.col("_end") >= F.col("_place")) & (F.col("_end") - F.col("_s") < F.col("_place")))
+        hit = stored(
+            hit.select(*keys, "_slice", (F.col("_place") - F.col("_end") + F.col("_s")).alias("_place")), "hit"
+        )
+        inside = _null_safe(sliced.drop("_place"), hit.withColumnRenamed("_slice", "_in"), keys)
+        counted = stored(inside.filter("_slice = _in").select(*keys, "_v", "_n"), "counted")
+        wanted = hit.drop("_slice")
+    placed = _null_safe(counted, wanted, keys).withColumn("_end", F.sum("_n").over(upto.orderBy("_v")))
+    found = placed.filter((F.col("_end") >= F.col("_place")) & (F.col("_end") - F.col("_n") < F.col("_place")))
+    return found.select(*[F.col(k).alias(g) for g, k in zip(groups, keys)], F.col("_v").alias(value))
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join where NULL keys meet; the right side has a row per group."""
+    other = right.withColumnsRenamed({k: f"{k}_r" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_r")) for k in keys]
+    return left.join(other, same, "inner").drop(*[f"{k}_r" for k in keys])

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxlake.functions.columns import guarded_ratio, price_avg
-from rxlake.operators.keyed import ascending, first_per_key
+from rxlake.functions.columns import exact_avg, guarded_ratio
 
+# Names of the features.
 ANOMALY_FEATURES = [
     "mean_price",
     "price_stddev",
@@ -17,19 +17,19 @@ ANOMALY_FEATURES = [
 ]
 
 
-def price_features(pricing: DataFrame, min_obs: int = 4, accuracy: int = 10000) -> DataFrame:
-    """Level and spread of a drug's positive prices, for drugs with enough of them."""
+def _features(pricing: DataFrame, min_obs: int, accuracy: int, *more: Column) -> DataFrame:
     price = F.col("nadac_per_unit")
+    level = F.when(price > 0, price)
     return (
-        pricing.filter(price > 0)
-        .groupBy("ndc")
+        pricing.groupBy("ndc")
         .agg(
-            F.count("*").alias("price_observations"),
-            price_avg(price).alias("mean_price"),
-            F.stddev_samp(price).alias("price_stddev"),
-            F.min(price).alias("min_price"),
-            F.max(price).alias("max_price"),
-            F.percentile_approx(price, 0.5, accuracy).alias("median_price"),
+            F.count(level).alias("price_observations"),
+            exact_avg(level).alias("mean_price"),
+            F.stddev_samp(level).alias("price_stddev"),
+            F.min(level).alias("min_price"),
+            F.max(level).alias("max_price"),
+            F.percentile_approx(level, 0.5, accuracy).alias("median_price"),
+            *more,
         )
         .filter(F.col("price_observations") >= min_obs)
         .withColumn("price_range", F.col("max_price") - F.col("min_price"))
@@ -42,26 +42,37 @@ def price_features(pricing: DataFrame, min_obs: int = 4, accuracy: int = 10000)
     )
 
 
-def price_anomaly_features(pricing: DataFrame, min_obs: int = 4) -> DataFrame:
-    """Price features with the latest known price and how far it is from the mean."""
-    known = pricing.filter(F.col("nadac_per_unit").isNotNull()).select(
-        "ndc",
-        F.col("nadac_per_unit").alias("latest_price"),
-        F.col("effective_date").alias("latest_date"),
-        "rate_classification",
+def price_features(pricing: DataFrame, min_obs: int = 4, accuracy: int = 10000) -> DataFrame:
+    """Level and spread of a drug's positive prices, for drugs with enough of them."""
+    return _features(pricing.filter("nadac_per_unit > 0"), min_obs, accuracy)
+
+
+def price_anomaly_features(pricing: DataFrame, min_obs: int = 4, accuracy: int = 10000) -> DataFrame:
+    """Price features with the latest known price and how far it is from the mean.
+
+    The latest price is the least of structs that sort as wanted, so one aggregation does both.
+    """
+    price, day = F.col("nadac_per_unit"), F.col("effective_date")
+    latest = F.struct(
+        day.isNull().alias("undated"),
+        (-F.unix_date(day)).alias("age"),
+        price.alias("price"),
+        F.col("rate_classification").alias("rate"),
+        day.alias("day"),
     )
-    latest = first_per_key(
-        known,
-        ["ndc"],
-        [
-            F.col("latest_date").desc_nulls_last(),
-            *ascending(["latest_price", "rate_classification"]),
-        ],
+    found = _features(
+        pricing.filter(price.isNotNull()), min_obs, accuracy, F.min(latest).alias("_latest")
     )
     away = F.col("latest_price") - F.col("mean_price")
     return (
-        price_features(pricing, min_obs)
-        .join(latest, "ndc", "inner")
+        found.withColumns(
+            {
+                "latest_price": F.col("_latest.price"),
+                "latest_date": F.col("_latest.day"),
+                "rate_classification": F.col("_latest.rate"),
+            }
+        )
+        .drop("_latest")
         .withColumns(
             {
                 "latest_deviation": away / F.nullif("mean_price", F.lit(0.0)),

@@ -1,7 +1,8 @@
 """Gaps between consecutive fills of one drug by one patient.
 
-Fills of a (patient, drug) pair are taken in order of service date (unknown dates first),
-days supply, then claim id. A gap within ``grace`` times the previous fill's days supply is
+Fills of a (patient, drug) pair are taken in order of service date (unknown dates first), days
+supply, a hash of the claim id, then the claim id. The hash decides which of the fills of one day and
+supply comes second; fills without a claim id are hashed by their amounts. A gap within ``grace`` times the previous fill's days supply is
 on time; a gap that cannot be computed is late.
 """
 
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rxlake.sources.scratch import stored
+
 PAIR = ["beneficiary_id", "ndc"]
 
 
@@ -33,9 +36,13 @@ def refill_sequences(fills: DataFrame, grace: float = 1.5) -> DataFrame:
             "_drug": F.coalesce(F.concat(F.lit("="), "ndc"), F.lit("")),
             "_day": F.coalesce(F.unix_date("service_date"), F.lit(-(1 << 31))),
             "_supply": F.col("days_supply"),
-            "_salt": F.coalesce(F.substring(F.md5("pde_id"), 1, 2), F.lit("")),
+            "_salt": F.substring(
+                F.md5(F.coalesce("pde_id", F.concat_ws("|", "total_rx_cost", "quantity_dispensed", "patient_pay_amount"))),
+                1, 2,
+            ),
         }
     )
+    rows = stored(rows, "fills")  # read by the bucket summary and by the rows
     pair = Window.partitionBy("_patient", "_drug").orderBy("_day", "_supply", "_salt")
     buckets = (
         rows.groupBy(*bucket)

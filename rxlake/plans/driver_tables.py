@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rxlake.operators import gold, prices, refills, silver
 from rxlake.sources.schemas import CONDITION_FLAGS
+from rxlake.sources.scratch import stored
 
 # One format of a nine-digit part key per remainder: 4-4-2, 5-3-2, 5-4-1, 5-4-2 with blanks
 # around, 11, 10 and 9 digits, and one that cannot be read.
@@ -25,17 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the files alone would not keep them busy.
-
-    A scan with a partition per core or more, as any large table has, stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _in_format(key: str, form: str) -> str:
-    digits = f"lpad(CAST({key} % 1000000000 AS STRING), 9, '0')"
+    # Formats are for nine digits; a longer key would fall onto another part's code.
+    digits = (
+        f"if({key} BETWEEN 0 AND 999999999, lpad(CAST({key} AS STRING), 9, '0'), "
+        f"CAST(raise_error('part key of more than nine digits') AS STRING))"
+    )
     return f"regexp_replace({digits}, '^(.)(.{{4}})(.)(.{{3}})$', {form})"
 
 
@@ -83,7 +79,7 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit = "(CAST(round(l_extendedprice * 100) AS BIGINT) * 1000 div CAST(l_quantity AS BIGINT))"
     day = "date_format(date_sub(l_shipdate, 14), 'MM/dd/yyyy')"
     kind = "(l_partkey + l_linenumber div 7) % 5"
-    return spread(table(spark, sf_dir, "lineitem")).selectExpr(
+    return table(spark, sf_dir, "lineitem").selectExpr(
         f"{raw_code('l_partkey')} AS NDC",
         "concat(' part ', l_partkey, ' ') AS NDC_Description",
         f"if(l_orderkey % 71 = 0, '', CAST({unit} / 100000D AS STRING)) AS NADAC_Per_Unit",
@@ -105,7 +101,7 @@ def raw_fills(spark: SparkSession, sf_dir: str) -> DataFrame:
     pay = f"round({cost} * CAST(l_discount AS DECIMAL(4,2)), 2)"
     day = "date_format(l_shipdate, 'yyyyMMdd')"
     buyer = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    line = spread(table(spark, sf_dir, "lineitem"))
+    line = table(spark, sf_dir, "lineitem")
     return line.join(buyer, line.l_orderkey == buyer.o_orderkey, "inner").selectExpr(
         "CAST(o_custkey AS STRING) AS DESYNPUF_ID",
         f"concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, {day}) AS PDE_ID",
@@ -128,7 +124,7 @@ def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i, name in enumerate(CONDITION_FLAGS)
     ]
     buyer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    order = spread(table(spark, sf_dir, "orders"))
+    order = table(spark, sf_dir, "orders")
     return order.join(buyer, order.o_custkey == buyer.c_custkey, "inner").selectExpr(
         "CAST(o_custkey AS STRING) AS DESYNPUF_ID",
         "concat(o_custkey % 60 + 1920, '0615') AS BENE_BIRTH_DT",
@@ -154,7 +150,7 @@ def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _claims(spark: SparkSession, sf_dir: str, status: str, *columns: str) -> DataFrame:
     return (
-        spread(table(spark, sf_dir, "orders"))
+        table(spark, sf_dir, "orders")
         .filter(F.col("o_orderstatus") == status)
         .selectExpr(
             "CAST(o_custkey AS STRING) AS DESYNPUF_ID",
@@ -289,7 +285,11 @@ class Inputs:
         return gold.patient_utilization(self.fills(), self.patients())
 
     def cohort(self) -> DataFrame:
-        return gold.high_cost_cohort(self.utilization(), self.inpatient(), self.outpatient())
+        return gold.high_cost_cohort(self.stored_utilization(), self.inpatient(), self.outpatient())
+
+    def stored_utilization(self) -> DataFrame:
+        """The utilization, written once, for what reads it more than once."""
+        return stored(self.utilization(), "utilization")
 
     def refill_stats(self) -> DataFrame:
         return refills.refill_stats(self.fills())

@@ -20,9 +20,6 @@ from rxlake.sources import scan_delimited, scan_with_provenance, schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-PHARMACY_TYPES = ["A", "N", "R"]
-
-
 # Whole-number columns that may be NULL, compared as doubles.
 NULLABLE_INTS = {
     "days_supply", "service_year", "service_month", "part_d_coverage_months", "length_of_stay",
@@ -202,7 +199,7 @@ def queries() -> dict[str, Query]:
         "inpatient_util": q(lambda i: gold.inpatient_util(i.inpatient())),
         "outpatient_util": q(lambda i: gold.outpatient_util(i.outpatient())),
         "spend_tiers": q(
-            lambda i: gold.spend_tiers(i.utilization()).select(
+            lambda i: gold.spend_tiers(i.stored_utilization()).select(
                 "beneficiary_id", "total_rx_spend", "spend_tier"
             )
         ),
@@ -218,7 +215,7 @@ def queries() -> dict[str, Query]:
         "adherence_by_burden": q(lambda i: analysis.adherence_by_burden(i.utilization())),
         "low_adherence_cohort": q(lambda i: analysis.low_adherence_cohort(i.utilization())),
         "price_by_pharmacy_type": q(lambda i: analysis.price_by_pharmacy_type(i.pricing())),
-        "price_pivot": q(lambda i: analysis.price_pivot(i.pricing(), PHARMACY_TYPES)),
+        "price_pivot": q(lambda i: analysis.price_pivot(i.pricing())),
         "pharmacy_types": q(lambda i: analysis.pharmacy_types(i.pricing())),
         "patients_by_state": q(
             lambda i: analysis.patients_by_state(i.patients(), state_lookup(i.spark))
