@@ -541,6 +541,29 @@ FILL_COLUMNS = (
     "beneficiary_id pde_id service_date ndc ndc_raw quantity_dispensed days_supply "
     "patient_pay_amount total_rx_cost payer_paid_amount service_year service_month"
 ).split()
+PARTD = "(SELECT DISTINCT p_name, p_type FROM part JOIN lineitem ON p_partkey = l_partkey)"
+CLAIM_COLUMNS = (
+    "beneficiary_id claim_id claim_start_date claim_end_date provider_id claim_payment_amount "
+    "primary_payer_paid service_year diag_1 diag_2 diag_3"
+).split()
+OTHER_COLUMNS = {
+    "patients": (
+        "beneficiary_id birth_date death_date sex race_code state_code county_code "
+        "part_a_coverage_months part_b_coverage_months part_d_coverage_months "
+        "inpatient_reimbursement outpatient_reimbursement carrier_reimbursement "
+        "inpatient_beneficiary_resp outpatient_beneficiary_resp carrier_beneficiary_resp "
+        "record_year chronic_condition_count is_deceased"
+    ).split() + list(CONDITION_FLAGS.values()),
+    "inpatient": CLAIM_COLUMNS + (
+        "admission_date discharge_date utilization_days drg_code admitting_diagnosis "
+        "deductible_amount coinsurance_amount length_of_stay"
+    ).split(),
+    "outpatient": CLAIM_COLUMNS + "deductible_amount blood_deductible hcpcs_1".split(),
+    "carrier": CLAIM_COLUMNS[:8] + (
+        "provider_tax_id line_1_payment line_1_deductible line_1_allowed_amount "
+        "line_1_coinsurance hcpcs_1 line_1_diagnosis"
+    ).split(),
+}
 LAYERS = {
     "dim_beneficiary": "patients",
     "dim_drug": "dim_drug",
@@ -618,6 +641,7 @@ def oracle_sql() -> dict[str, str]:
             "raw_patients",
         ),
         "normalize_code": sql("SELECT k AS part_key, raw, ndc FROM part_codes", "part_codes"),
+        "normalize_ndc_sql": sql("SELECT k AS part_key, raw, ndc FROM part_codes", "part_codes"),
         "normalize_rate": sql(
             f"""SELECT count(*) AS total, count(ndc) AS normalized,
               count(*) - count(ndc) AS failed,
@@ -824,7 +848,16 @@ def oracle_sql() -> dict[str, str]:
             "cohort",
         ),
         # quality
-        "silver_inventory": sql(inventory(LAYERS), *LAYERS.values()),
+        "silver_inventory": sql(inventory({**LAYERS, "agg_partd_spending": PARTD}), *LAYERS.values()),
+        "bronze_inventory": sql(
+            f"""SELECT * FROM ({inventory({
+                "fda_ndc_product": "part", "nadac_pricing": "lineitem", "synpuf_beneficiary": "raw_patients",
+                "synpuf_carrier": "carrier", "synpuf_inpatient": "inpatient",
+                "synpuf_outpatient": "outpatient", "synpuf_pde": "fills", "fda_ndc_package": "raw_package",
+                "partd_spending": PARTD,
+            })})""",
+            "raw_patients", "carrier", "inpatient", "outpatient", "fills", "raw_package",
+        ),
         "gold_inventory": sql(inventory(GOLD), *GOLD.values()),
         "null_rates": sql(
             "SELECT column_name, null_pct, flag FROM ("
@@ -834,6 +867,18 @@ def oracle_sql() -> dict[str, str]:
         ),
         "quality_report": sql(report("fills", FILL_COLUMNS), "fills"),
         "quality_report_pricing": sql(report("pricing", PRICING_COLUMNS), "pricing"),
+        **{
+            f"quality_report_{t}": sql(report(t, columns), t) for t, columns in OTHER_COLUMNS.items()
+        },
+        "duplicate_drug_codes": sql(
+            "SELECT count(*) AS duplicate_keys FROM (SELECT ndc FROM dim_drug GROUP BY ndc HAVING count(*) > 1)",
+            "dim_drug",
+        ),
+        "layer_round_trip": sql(
+            """SELECT 'copy' AS origin, CAST(service_year AS DOUBLE) AS service_year, count(*) AS fills
+            FROM fills GROUP BY service_year""",
+            "fills",
+        ),
         "duplicate_keys": sql(
             """SELECT count(*) AS duplicate_keys FROM (SELECT l_orderkey FROM lineitem
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)"""
@@ -886,6 +931,41 @@ def oracle_sql() -> dict[str, str]:
             FROM training""",
             "training",
         ),
+        "stratified_split": sql(
+            """SELECT beneficiary_id, low_adherence, CASE WHEN r <= floor(0.75 * n + 0.5)
+                THEN 'train' ELSE 'test' END AS part
+            FROM (SELECT beneficiary_id, low_adherence, count(*) OVER (PARTITION BY low_adherence) AS n,
+                row_number() OVER (PARTITION BY low_adherence
+                  ORDER BY substr(md5('42:' || beneficiary_id), 1, 15), beneficiary_id) AS r
+              FROM training)""",
+            "training",
+        ),
+        "lr_gradient": sql(
+            "\nUNION ALL ".join(f"SELECT '{c}' AS feature, 0.0::DOUBLE AS slope FROM (SELECT count(*) FROM training)" for c in FEATURES),
+            "training",
+        ),
+        "lr_tier_checks": sql(
+            """SELECT CAST(sum(n - floor(0.75 * n + 0.5)) AS BIGINT) AS scored, CAST(0 AS BIGINT) AS odd
+            FROM (SELECT count(*) AS n FROM training GROUP BY low_adherence)""",
+            "training",
+        ),
+        "importance_sum": sql(
+            f"SELECT CAST({len(FEATURES)} AS BIGINT) AS features, 1.0::DOUBLE AS total FROM (SELECT count(*) FROM training)",
+            "training",
+        ),
+        "isolation_checks": sql(
+            """SELECT count(*) AS scored, CAST(0 AS BIGINT) AS odd
+            FROM anomaly_features WHERE price_stddev IS NOT NULL""",
+            "anomaly_features",
+        ),
+        "anomaly_share": sql(
+            f"""SELECT CAST(k AS BIGINT) AS anomalies, {rnd("k / n * 100", 1)} AS pct
+            FROM (SELECT n, CASE WHEN 0.05 * (n - 1) > floor(0.05 * (n - 1))
+                THEN floor(0.05 * (n - 1)) + 1 ELSE floor(0.05 * (n - 1)) END AS k
+              FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM anomaly_features
+                WHERE price_stddev IS NOT NULL))""",
+            "anomaly_features",
+        ),
         "stratified_split_counts": sql(
             """SELECT low_adherence, 'train' AS part, CAST(floor(0.75 * count(*) + 0.5) AS BIGINT) AS n
             FROM training GROUP BY low_adherence

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlake.operators.keyed import ensure_checkpoint_dir
+from rxlake.sources.scratch import stored
 
 LABEL = "low_adherence"
 FEATURES = [
@@ -56,6 +57,15 @@ def target_rate(training: DataFrame, label: str = LABEL) -> DataFrame:
     )
 
 
+MOST_LABELS = 200
+
+
+def _key_hash(seed: int, key: str) -> Column:
+    """The first 60 bits of an MD5 of seed and key, as other engines can take them too."""
+    text = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    return F.conv(F.substring(text, 1, 15), 16, 10).cast("long")
+
+
 def split_points(df: DataFrame, label: str, frac: float, seed: int, key: str) -> DataFrame:
     """Per label, the hash and key of the last training row.
 
@@ -63,8 +73,8 @@ def split_points(df: DataFrame, label: str, frac: float, seed: int, key: str) ->
     the one range in which a label's cut falls, a small even slice, are then put in order.
     Rows with the same key stay on one side.
     """
-    hashed = df.select(label, key, F.xxhash64(F.lit(seed), key).alias("_hash")).withColumn(
-        "_slice", F.shiftright("_hash", 48)
+    hashed = df.select(label, key, _key_hash(seed, key).alias("_hash")).withColumn(
+        "_slice", F.shiftright("_hash", 44)
     )
     upto = Window.partitionBy(label).orderBy("_slice")
     whole = Window.partitionBy(label)
@@ -103,7 +113,7 @@ def stratified_split(
 
     Depends on the keys and the seed only, never on partitioning.
     """
-    marked = with_part(df, label, frac, seed, key)
+    marked = stored(with_part(df, label, frac, seed, key), "split")
     return (
         marked.filter("_part = 'train'").drop("_part"),
         marked.filter("_part = 'test'").drop("_part"),
@@ -118,8 +128,10 @@ def with_part(
     key: str = "beneficiary_id",
 ) -> DataFrame:
     """Add ``_part``, train or test."""
+    if df.select(label).distinct().limit(MOST_LABELS + 1).count() > MOST_LABELS:
+        raise ValueError(f"{label} has more than {MOST_LABELS} values; is it a class?")
     cuts = split_points(df, label, frac, seed, key)  # one row per label
-    hashed = F.xxhash64(F.lit(seed), key)
+    hashed = _key_hash(seed, key)
     train = (hashed < F.col("_cut")) | (
         (hashed == F.col("_cut")) & (F.col(key) <= F.col("_cut_key"))
     )
@@ -180,7 +192,7 @@ def fit_adherence_gbt(
     seed: int = 42,
 ) -> PipelineModel:
     """Gradient-boosted trees on standardized features."""
-    ensure_checkpoint_dir(train.sparkSession)
+    ensure_checkpoint_dir(train.sparkSession)  # the trees' own checkpoints
     model = GBTClassifier(
         labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed,
         checkpointInterval=10,
@@ -224,6 +236,25 @@ def lr_coefficients(model: PipelineModel, features: list[str] | None = None) ->
     )
 
 
+def lr_gradient(
+    model: PipelineModel, train: DataFrame, features: list[str] | None = None, label: str = LABEL
+) -> DataFrame:
+    """Slope of the fitted loss per feature, rounded: 0 everywhere at the optimum."""
+    weight, n = balanced_weight(train, label)
+    fitted = model.stages[-1]
+    x = vector_to_array("features")
+    error = (vector_to_array("probability")[1] - F.col(label)) * weight
+    scored = model.transform(train).select(x.alias("x"), error.alias("e"), weight.alias("w"))
+    names = features or FEATURES
+    sums = scored.agg(
+        *[F.sum(F.col("e") * F.col("x")[i]).alias(f"g{i}") for i in range(len(names))],
+        F.sum("w").alias("w"),
+    ).first()
+    pull = fitted.coefficients.toArray() * fitted.getRegParam()
+    slopes = [round(float(sums[f"g{i}"] / sums["w"] + pull[i]), 3) + 0.0 for i in range(len(names))]
+    return _frame(list(zip(names, slopes)), "feature string, slope double")
+
+
 def _frame(rows: list, schema: str) -> DataFrame:
     from pyspark.sql import SparkSession
 

@@ -16,7 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxlake.operators.keyed import ensure_checkpoint_dir, with_global_rank
+from rxlake.operators.keyed import with_global_rank
+from rxlake.sources.scratch import stored
 
 NODE_SCHEMA = (
     "tree int, node int, feature int, split double, left int, right int, path double, size int"
@@ -33,18 +34,25 @@ def tree_samples(
     """
     want = min(sample_size, n)
     share = min(1.0, (want + 8 * math.sqrt(want) + 16) / n)
-    # Signed 64-bit hashes: the lowest share of the range.
-    bar = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
 
     def tree_hash(tree):
         return F.xxhash64(F.lit(seed), tree, F.col(key))
 
-    hits = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: tree_hash(t) <= F.lit(bar)
-    )
-    drawn = df.select(key, values, F.explode(hits).alias("tree")).withColumn(
-        "_hash", tree_hash(F.col("tree"))
-    )
+    def below(share: float) -> DataFrame:
+        # Signed 64-bit hashes: the lowest share of the range.
+        bar = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
+        hits = F.filter(
+            F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: tree_hash(t) <= F.lit(bar)
+        )
+        return df.select(key, values, F.explode(hits).alias("tree")).withColumn(
+            "_hash", tree_hash(F.col("tree"))
+        )
+
+    # The bar moves up until every tree has enough rows.
+    drawn = stored(below(share), "drawn")
+    while share < 1 and drawn.groupBy("tree").count().filter(F.col("count") >= want).count() < trees:
+        share = min(1.0, 2 * share)
+        drawn = stored(below(share), "drawn")
     w = Window.partitionBy("tree").orderBy("_hash", key)
     return (
         drawn.withColumn("_order", F.row_number().over(w))
@@ -170,9 +178,8 @@ def isolation_forest(
     the ``contamination`` quantile (interpolated); below zero is an anomaly.
     """
     values = "_values"
-    ensure_checkpoint_dir(df.sparkSession)
     # One row per drug, read by every step below: stored once.
-    ready = standardized(df.na.drop(subset=features).checkpoint(), features, values)
+    ready = standardized(stored(df.na.drop(subset=features), "drugs"), features, values)
     n = ready.count()
     if n == 0:
         raise ValueError("no complete rows to score")
@@ -180,7 +187,8 @@ def isolation_forest(
     samples = tree_samples(ready, n, trees, sample_size, seed, key, values)
     # Model parameters: at most trees * (2 * sample_size - 1) rows.
     nodes = grow_trees(samples, size, seed, values).toPandas()
-    scored = score_rows(ready, nodes, size, values).drop(values)
+    # Sorting reads its input twice, scoring should not.
+    scored = stored(score_rows(ready, nodes, size, values).drop(values), "scored")
     ranked = with_global_rank(scored, [F.col("_score"), F.col(key)])
     place = contamination * (n - 1)
     lower = math.floor(place)

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.functions.codes import normalize_code
+from rxlake.functions.codes import normalize_code, register_sql_function
 from rxlake.functions.columns import snake_case_columns
 from rxlake.functions.states import state_lookup
 from rxlake.models import adherence, isolation, metrics
 from rxlake.operators import analysis, gold, prices, quality, refills, silver
-from rxlake.operators.keyed import ensure_checkpoint_dir
 from rxlake.plans import driver_tables as raw
 from rxlake.plans.driver_tables import Inputs
-from rxlake.sources import scan_delimited, scan_with_provenance, schemas
+from rxlake.sources import scan_delimited, scan_with_provenance, schemas, tables
+from rxlake.sources.files import with_constant
+from rxlake.sources.scratch import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,14 +50,9 @@ def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.withColumn("ndc", normalize_code(F.col("raw")))
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder next to the checkpoints, which all executors share."""
-    return f"{ensure_checkpoint_dir(spark)}/rxlake-files-{uuid.uuid4().hex}"
-
-
 def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The package listing written as tab-separated files and read back."""
-    path = _scratch(spark)
+    path = scratch_path(spark, "files")
     raw.raw_package(spark, sf_dir).write.csv(
         path, sep="\t", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
@@ -66,7 +61,7 @@ def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scanned_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The patient records written as one set of files per year, the year taken from the path."""
-    path = _scratch(spark)
+    path = scratch_path(spark, "files")
     names = ["DESYNPUF_ID", "SP_STATE_CODE", "MEDREIMB_IP"]
     raw.raw_patients(spark, sf_dir).select(*names, "_source_year").write.partitionBy(
         "_source_year"
@@ -82,8 +77,7 @@ def _training(i: Inputs) -> DataFrame:
 
 def _stored_training(i: Inputs) -> DataFrame:
     """The training set, written once, for what reads it more than once."""
-    ensure_checkpoint_dir(i.spark)
-    return _training(i).checkpoint()
+    return stored(_training(i), "training")
 
 
 def _rule_scores(i: Inputs) -> DataFrame:
@@ -126,6 +120,59 @@ def _gbt_scores(i: Inputs) -> DataFrame:
     )
 
 
+def _held_out_report(fitted, i: Inputs) -> DataFrame:
+    """Class report and area under the curve on the test part."""
+    model, test = fitted(i)
+    scored = stored(adherence.score_adherence(model, test), "test-scores")
+    report = metrics.classification_metrics(scored)
+    report = report.withColumn("roc_auc", F.lit(metrics.roc_auc(scored)).cast("double"))
+    return _rounded(report, "precision", "recall", "f1", "roc_auc")
+
+
+def _lr_slopes(i: Inputs) -> DataFrame:
+    train, _ = adherence.stratified_split(_stored_training(i))
+    return adherence.lr_gradient(adherence.fit_adherence_lr(train), train)
+
+
+def _importance_sum(i: Inputs) -> DataFrame:
+    found = adherence.feature_importance(_gbt(i)[0])
+    return found.agg(F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+
+
+def _forest_checks(i: Inputs) -> DataFrame:
+    """Rows scored, and rows whose flag, sign and class disagree."""
+    flag, score = F.col("is_anomaly"), F.col("anomaly_score")
+    odd = (flag == 1) != (F.col("anomaly_raw_score") < 0)
+    return _forest(i).agg(
+        F.count("*").alias("scored"), F.count_if(odd | ((flag == 1) != (score == -1))).alias("odd")
+    )
+
+
+def _tier_checks(i: Inputs) -> DataFrame:
+    """Test rows, and rows whose class or tier does not follow from the probability."""
+    p, tier = F.col("probability"), F.col("risk_tier")
+    right = F.when(p >= 0.7, tier == "high").when(p >= 0.4, tier == "medium").otherwise(tier == "low")
+    odd = ~right | (F.col("prediction") != (p > 0.5).cast("int"))
+    return _lr_scores(i).agg(F.count("*").alias("scored"), F.count_if(odd).alias("odd"))
+
+
+def _codes_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_sql_function(spark)
+    raw.table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS part_key", f"{raw.raw_code('p_partkey')} AS raw"
+    ).createOrReplaceTempView("rxlake_codes")
+    return spark.sql("SELECT part_key, raw, normalize_ndc(raw) AS ndc FROM rxlake_codes")
+
+
+def _layer_round_trip(i: Inputs) -> DataFrame:
+    """Fills written as a partitioned layer table, taken over as another, and read back."""
+    layer = "rxlake_layer_check"
+    tables.write_layer(i.fills(), layer, "fills", partition_by=["service_year"])
+    tables.copy_table(i.spark, f"{layer}.fills", "fills_copy", layer)
+    read = with_constant(tables.read_layer(i.spark, layer, "fills_copy"), "origin", "copy")
+    return read.groupBy("origin", "service_year").agg(F.count("*").alias("fills"))
+
+
 def _forest(i: Inputs) -> DataFrame:
     return isolation.isolation_forest(i.anomaly_features(), prices.ANOMALY_FEATURES)
 
@@ -146,7 +193,23 @@ def _silver_tables(i: Inputs) -> dict[str, DataFrame]:
         "fact_inpatient_claims": i.inpatient(),
         "fact_outpatient_claims": i.outpatient(),
         "fact_prescription_events": i.fills(),
+        "agg_partd_spending": snake_case_columns(raw.raw_partd(i.spark, i.sf_dir)),
+    }
+
+
+def _bronze_tables(i: Inputs) -> dict[str, DataFrame]:
+    builds = {
+        "fda_ndc_product": raw.raw_product,
+        "fda_ndc_package": raw.raw_package,
+        "nadac_pricing": raw.raw_prices,
+        "partd_spending": raw.raw_partd,
+        "synpuf_beneficiary": raw.raw_patients,
+        "synpuf_carrier": raw.raw_carrier,
+        "synpuf_inpatient": raw.raw_inpatient,
+        "synpuf_outpatient": raw.raw_outpatient,
+        "synpuf_pde": raw.raw_fills,
     }
+    return {name: build(i.spark, i.sf_dir) for name, build in builds.items()}
 
 
 def _gold_tables(i: Inputs) -> dict[str, DataFrame]:
@@ -171,6 +234,7 @@ def queries() -> dict[str, Query]:
         "scan_delimited": _scanned,
         "scan_with_provenance": _scanned_by_year,
         "normalize_code": _codes,
+        "normalize_ndc_sql": _codes_by_sql,
         "normalize_rate": q(
             lambda i: quality.normalize_rate(_raw_of(raw.raw_package, i), "NDCPACKAGECODE")
         ),
@@ -223,11 +287,18 @@ def queries() -> dict[str, Query]:
         "spend_ratio": q(lambda i: analysis.spend_ratio(i.cohort())),
         "spend_quartiles": q(lambda i: analysis.spend_quartiles(i.cohort())),
         # quality
+        "bronze_inventory": q(lambda i: quality.table_inventory(_bronze_tables(i))),
         "silver_inventory": q(lambda i: quality.table_inventory(_silver_tables(i))),
         "gold_inventory": q(lambda i: quality.table_inventory(_gold_tables(i))),
         "null_rates": q(lambda i: quality.null_rates(i.dim_drug())),
         "quality_report": q(lambda i: quality.quality_report(i.fills())),
         "quality_report_pricing": q(lambda i: quality.quality_report(i.pricing())),
+        "quality_report_patients": q(lambda i: quality.quality_report(i.patients())),
+        "quality_report_inpatient": q(lambda i: quality.quality_report(i.inpatient())),
+        "quality_report_outpatient": q(lambda i: quality.quality_report(i.outpatient())),
+        "quality_report_carrier": q(lambda i: quality.quality_report(i.carrier())),
+        "duplicate_drug_codes": q(lambda i: quality.duplicate_keys(i.dim_drug(), ["ndc"])),
+        "layer_round_trip": q(_layer_round_trip),
         "duplicate_keys": lambda spark, sf_dir: quality.duplicate_keys(
             raw.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]
         ),
@@ -286,6 +357,12 @@ def queries() -> dict[str, Query]:
         "score_adherence_lr": q(_lr_scores),
         "feature_importance": q(lambda i: adherence.feature_importance(_gbt(i)[0])),
         "score_adherence_gbt": q(_gbt_scores),
+        "lr_metrics": q(lambda i: _held_out_report(_lr, i)),
+        "gbt_metrics": q(lambda i: _held_out_report(_gbt, i)),
+        "lr_gradient": q(_lr_slopes),
+        "lr_tier_checks": q(_tier_checks),
+        "importance_sum": q(_importance_sum),
+        "isolation_checks": q(_forest_checks),
         "isolation_forest": q(_forest),
         "top_anomalies": q(lambda i: isolation.top_anomalies(_forest(i), i.dim_drug())),
         "anomaly_share": q(lambda i: isolation.anomaly_share(_forest(i))),

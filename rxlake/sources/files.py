@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+SOURCE_PATH = "_rxlake_path"
+
 
 def header_schema(spark: SparkSession, paths: str | list[str], sep: str = ",") -> StructType:
     """All-text schema from the header line alone.
@@ -17,34 +21,70 @@ def header_schema(spark: SparkSession, paths: str | list[str], sep: str = ",") -
     return StructType([StructField(n, StringType()) for n in names])
 
 
+def files_by_header(
+    spark: SparkSession, paths: str | list[str], sep: str = ","
+) -> list[tuple[StructType, list[str]]]:
+    """The files of a set, together where their header lines agree, in order of name.
+
+    Only file names and header lines are read here.
+    """
+    listed = spark.read.format("binaryFile").load(paths).select("path").distinct()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(listed.collect()):
+        names = spark.read.option("header", True).option("sep", sep).csv(row["path"]).columns
+        groups.setdefault(tuple(names), []).append(row["path"])
+    return [(_all_text(names), files) for names, files in groups.items()]
+
+
+def _all_text(names: tuple[str, ...]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names])
+
+
 def scan_delimited(
     spark: SparkSession,
     paths: str | list[str],
     schema: StructType | None = None,
     sep: str = ",",
     header: bool = True,
+    keep_path: bool = False,
 ) -> DataFrame:
     """Read one file, many files or a glob of delimited text.
 
-    Columns are matched to ``schema`` by header name, so extra or reordered columns in the
-    file are harmless, and only the columns in use are parsed. Without a schema all columns
-    are read, as text.
+    Columns are matched to ``schema`` by header name, so extra or reordered columns in a file are
+    harmless, and only the columns in use are parsed. Files of one set may have different headers:
+    they are put together by column name, and a column that some files lack is NULL there. A column
+    that no file has is an error. Without a schema all columns are read, as text.
     """
     if not header and schema is None:
         raise ValueError("a file without a header needs a schema")
-    # enforceSchema off: a file of the set with other headers is an error, not a shift.
+    # enforceSchema off: a file with another header than expected is an error, not a shift.
     reader = spark.read.option("header", header).option("sep", sep).option("enforceSchema", False)
     if not header:
         return reader.schema(schema).csv(paths)
-    found = header_schema(spark, paths, sep)
-    df = reader.schema(found).csv(paths)
-    if schema is None:
-        return df
-    present = {n.lower() for n in found.names}
-    missing = [n for n in schema.names if n.lower() not in present]
-    if missing:
-        raise ValueError(f"columns not in {paths}: {', '.join(missing)}")
-    return df.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+    groups = files_by_header(spark, paths, sep)
+    if not groups:
+        raise ValueError(f"no files at {paths}")
+    if schema is not None:
+        present = {n.lower() for found, _ in groups for n in found.names}
+        missing = [n for n in schema.names if n.lower() not in present]
+        if missing:
+            raise ValueError(f"columns not in {paths}: {', '.join(missing)}")
+
+    def one(found: StructType, files: list[str]) -> DataFrame:
+        df = reader.schema(found).csv(files if len(groups) > 1 else paths)
+        path = F.col("_metadata.file_path").alias(SOURCE_PATH)
+        if schema is None:
+            return df.select("*", path)
+        own = {n.lower() for n in found.names}
+        columns = [
+            (F.col(f"`{f.name}`") if f.name.lower() in own else F.lit(None)).try_cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+        return df.select(*columns, path)
+
+    parts = [one(found, files) for found, files in groups]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole if keep_path else whole.drop(SOURCE_PATH)
 
 
 def scan_with_provenance(
@@ -55,12 +95,11 @@ def scan_with_provenance(
     sep: str = ",",
 ) -> DataFrame:
     """Read a set of yearly files, keeping each row's file and the year in its name."""
-    df = scan_delimited(spark, paths, schema, sep)
-    path = F.col("_metadata.file_path")
+    df = scan_delimited(spark, paths, schema, sep, keep_path=True)
     return df.select(
-        "*",
-        path.alias("_source_file"),
-        F.regexp_extract(path, year_regex, 1).alias("_source_year"),
+        *[F.col(f"`{c}`") for c in df.columns if c != SOURCE_PATH],
+        F.col(SOURCE_PATH).alias("_source_file"),
+        F.regexp_extract(SOURCE_PATH, year_regex, 1).alias("_source_year"),
     )
 
 

@@ -20,6 +20,8 @@ def write_layer(
 ) -> None:
     """Replace ``layer.table``, data and schema."""
     create_layers(df.sparkSession, layer)
+    if partition_by:  # rows of a partition together, large ones in several files
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
