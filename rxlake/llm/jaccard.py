@@ -387,7 +387,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, join: Join, tasks: int, salts:
 
 
 def _across(lists: DataFrame, label: DataFrame, sets: DataFrame, join: Join, tasks: int) -> DataFrame:
-    """Pairs (a, b) in different components that no count or sketch rules out, with their least difference."""
+    """Pairs (a, b) in different components that neither shared lists nor sketches rule out.
+
+    ``apart`` is the least difference of their sets that the sketches allow.
+    """
     sketches = sets.select("set_id", "sketch").dropDuplicates(["set_id"])
     entries = lists.filter("NOT light")
     # A set that stands in too few lists is linked with none, whatever its partner's size.
@@ -413,7 +416,7 @@ def _across(lists: DataFrame, label: DataFrame, sets: DataFrame, join: Join, tas
         "n", "set_id", "mine", "component",
     )
     rows = rows.join(sketches, "set_id").select("gram", "p", "q", "n", "set_id", "mine", "component", "sketch")
-    names, types = ["a", "b", "apart"], [pa.int64()] * 3
+    names, types = ["a", "b", "apart", "need"], [pa.int64()] * 4
 
     def pairs(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         """All pairs of whole lists: each row with the next, then with the one after, and so on."""
@@ -435,8 +438,9 @@ def _across(lists: DataFrame, label: DataFrame, sets: DataFrame, join: Join, tas
                 least = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
                 near = join.linked((n[x] + n[y] - least) / 2, n[x] + n[y])
                 if near.any():
+                    need = 1 + np.minimum(n[x[near]], n[y[near]]) // join.more
                     x, y, least = ids[x[near]], ids[y[near]], least[near]
-                    yield _batch([np.minimum(x, y), np.maximum(x, y), least], types, names)
+                    yield _batch([np.minimum(x, y), np.maximum(x, y), least, need], types, names)
             apart += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -462,8 +466,11 @@ def _across(lists: DataFrame, label: DataFrame, sets: DataFrame, join: Join, tas
             yield from pairs([np.concatenate(c) for c in zip(*held)])
 
     placed = rows.repartition(tasks, "gram", "p", "q").sortWithinPartitions("gram", "p", "q", "n", "set_id")
-    shared = placed.mapInArrow(run, "a long, b long, apart long").groupBy("a", "b")
-    return shared.agg(F.first("apart").alias("apart"))
+    shared = placed.mapInArrow(run, "a long, b long, apart long, need long").groupBy("a", "b")
+    shared = shared.agg(
+        F.first("apart").alias("apart"), F.first("need").alias("need"), F.count("*").alias("k")
+    )
+    return shared.filter("k >= need").select("a", "b", "apart")
 
 
 def near_duplicates(
