@@ -145,6 +145,8 @@ def fit_arrays(column: pa.Array, toxic: np.ndarray, settings: Settings = Setting
 def severity_column(model: Model, column: pa.Array) -> np.ndarray:
     """The probability of a grade above 0, 1 and 2 for every text."""
     out = np.zeros((len(column), 3))
+    if np.isinf(model.thresholds).all():  # fitted on nothing
+        return out
     maybe = np.zeros(1 << 20, bool)  # most features are not in the vocabulary and end here
     maybe[(model.words >> np.uint64(44)).astype(np.int64)] = True
     for first, rows, row, hashes in _features(column):
