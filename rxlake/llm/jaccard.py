@@ -61,7 +61,7 @@ class Join:
     heads: int = 2
     head_share: float = 0.3  # of the prefix that is worth comparing a set with a list's head
     block: int = 2048  # rows of a list that are paired at a time
-    sketch_bits: int = 2048
+    sketch_bits: int = 2048  # of the largest sketch; a set too large for it has none
     partners_first: int = 2  # of a set that are compared before all others
 
     def overlap(self, a: int, b: int) -> int:
@@ -79,6 +79,13 @@ class Join:
         """Prefix n-grams that linked sets share at least, if neither is smaller than n."""
         return 1 + n // self.more
 
+    def bits(self, n: int) -> int:
+        """Bits of a set's sketch: a power of two, so the larger of two folds onto the smaller."""
+        bits = max(256, 1 << (3 * n // 2 - 1).bit_length())
+        # On average half the bits differ at most, so larger sets cannot be told apart.
+        useful = (100 - self.percent) * 2 * n < (100 + self.percent) * self.sketch_bits // 2
+        return min(bits, self.sketch_bits) if useful else 0
+
     def prefix(self, n: int) -> int:
         return n - -(-self.percent * n // 100) + self.least_shared(n)
 
@@ -133,9 +140,12 @@ def _sets(docs: DataFrame, join: Join) -> DataFrame:
         schema = schema.add(name, "long")
     schema = schema.add("sketch", "binary")
 
-    def sketch(grams: np.ndarray) -> bytes:
-        place = (grams % np.uint64(join.sketch_bits)).astype(np.int64)
-        return np.packbits(np.bincount(place, minlength=join.sketch_bits).astype(np.uint8) & 1).tobytes()
+    def sketch(grams: np.ndarray) -> bytes | None:
+        bits = join.bits(len(grams))
+        if not bits:
+            return None
+        place = (grams % np.uint64(bits)).astype(np.int64)
+        return np.packbits(np.bincount(place, minlength=bits).astype(np.uint8) & 1).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -386,6 +396,19 @@ def _verified(pairs: DataFrame, docs: DataFrame, join: Join, tasks: int, salts:
     return placed.mapInArrow(run, "a long, b long")
 
 
+def _sketches(found: list[bytes | None], most: int) -> list[np.ndarray]:
+    """Words per sketch, all sketches as rows of ``most`` words, and all folded to half their size."""
+    words = np.array([len(x or b"") // 8 for x in found], np.int64)
+    whole, folded = np.zeros((2, len(found), most), np.uint64)
+    for size in np.unique(words[words > 0]):
+        at = np.flatnonzero(words == size)
+        rows = np.frombuffer(b"".join(found[i] for i in at), np.uint64).reshape(len(at), size)
+        whole[at, :size] = rows
+        if size > 1:
+            folded[at, : size // 2] = rows[:, : size // 2] ^ rows[:, size // 2 :]
+    return [words, whole, folded]
+
+
 def _across(lists: DataFrame, label: DataFrame, sets: DataFrame, join: Join, tasks: int) -> DataFrame:
     """Pairs (a, b) in different components that neither shared lists nor sketches rule out.
 
@@ -420,7 +443,7 @@ def _across(lists: DataFrame, label: DataFrame, sets: DataFrame, join: Join, tas
 
     def pairs(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         """All pairs of whole lists: each row with the next, then with the one after, and so on."""
-        gram, p, q, n, ids, mine, component, sketch = columns
+        gram, p, q, n, ids, mine, component, words, sketch, folded = columns
         new = np.ones(len(gram), bool)
         new[1:] = (gram[1:] != gram[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
         first = np.flatnonzero(new)
@@ -435,7 +458,14 @@ def _across(lists: DataFrame, label: DataFrame, sets: DataFrame, join: Join, tas
             meet = (component[row] != component[to]) & ((p[row] == q[row]) | (mine[row] != mine[to]))
             if meet.any():
                 x, y = row[meet], to[meet]
-                least = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
+                least = np.zeros(len(x), np.int64)  # known of their difference
+                for a, b, which in (
+                    (sketch, sketch, words[x] == words[y]),
+                    (folded, sketch, words[x] == 2 * words[y]),
+                    (sketch, folded, 2 * words[x] == words[y]),
+                ):
+                    at = np.flatnonzero(which & (words[x] > 0) & (words[y] > 0))
+                    least[at] = np.bitwise_count(a[x[at]] ^ b[y[at]]).sum(1, dtype=np.int64)
                 near = join.linked((n[x] + n[y] - least) / 2, n[x] + n[y])
                 if near.any():
                     need = 1 + np.minimum(n[x[near]], n[y[near]]) // join.more
@@ -449,8 +479,7 @@ def _across(lists: DataFrame, label: DataFrame, sets: DataFrame, join: Join, tas
             if not batch.num_rows:
                 continue
             columns = [batch.column(i).to_numpy() for i in range(7)]
-            bits = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64)
-            columns.append(bits.reshape(batch.num_rows, -1))
+            columns += _sketches(batch.column(7).to_pylist(), join.sketch_bits // 64)
             start = len(columns[0])
             while start and all(columns[i][start - 1] == columns[i][-1] for i in range(3)):
                 start -= 1
