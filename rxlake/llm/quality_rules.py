@@ -156,6 +156,13 @@ def _squared_distance(p: int) -> Column:
     return sum((x * x for x in z[1:]), z[0] * z[0])
 
 
+def _beside(rows: DataFrame, per_group: DataFrame, salts: int = 16) -> DataFrame:
+    """Rows with what belongs to their group, a large group spread over ``salts`` tasks."""
+    left = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    right = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return left.join(right, ["_group", "_salt"]).drop("_salt")
+
+
 def _start(rows: DataFrame, p: int, rules: Rules) -> DataFrame:
     """Medians and median deviations as a first, diagonal estimate."""
 
@@ -163,7 +170,7 @@ def _start(rows: DataFrame, p: int, rules: Rules) -> DataFrame:
         return F.percentile(c, F.lit(0.5))
 
     centre = rows.groupBy("_group").agg(*[median(F.col(f"_x{i}")).alias(f"_m{i}") for i in range(p)])
-    away = rows.join(centre, "_group")
+    away = _beside(rows, centre)
     spread = away.groupBy("_group").agg(
         *[F.min(f"_m{i}").alias(f"_m{i}") for i in range(p)],
         *[median(F.abs(F.round(F.col(f"_x{i}") - F.col(f"_m{i}")))).alias(f"_s{i}") for i in range(p)],
@@ -176,7 +183,7 @@ def _start(rows: DataFrame, p: int, rules: Rules) -> DataFrame:
 
 def _concentrated(rows: DataFrame, estimate: DataFrame, p: int, rules: Rules) -> DataFrame:
     """The estimate over the share of each group that is nearest by the last estimate."""
-    near = rows.join(estimate, "_group").withColumn(
+    near = _beside(rows, estimate).withColumn(
         "_bin", F.floor(F.log1p(_squared_distance(p)) * 40).cast("int")
     )
     pairs = [(i, j) for i in range(p) for j in range(i + 1)]
