@@ -213,13 +213,14 @@ def _bronze_tables(i: Inputs) -> dict[str, DataFrame]:
 
 
 def _gold_tables(i: Inputs) -> dict[str, DataFrame]:
+    """All gold tables on typed tables that are built and written once."""
+    fills, prices_, drugs = stored(i.fills(), "fills"), stored(i.pricing(), "pricing"), stored(i.dim_drug(), "drugs")
+    utilization = stored(gold.patient_utilization(fills, i.patients()), "utilization")
     return {
-        "beneficiary_drug_utilization": i.utilization(),
-        "drug_cost_journey": i.journey(),
-        "drug_cost_spread_analysis": gold.cost_spread_monthly(
-            i.pricing(), i.fills(), i.dim_drug()
-        ),
-        "high_cost_drug_cohort": i.cohort(),
+        "beneficiary_drug_utilization": utilization,
+        "drug_cost_journey": gold.drug_cost_journey(fills, drugs, prices_),
+        "drug_cost_spread_analysis": gold.cost_spread_monthly(prices_, fills, drugs),
+        "high_cost_drug_cohort": gold.high_cost_cohort(utilization, i.inpatient(), i.outpatient()),
     }
 
 
