@@ -98,10 +98,12 @@ def test_pivot_and_types(spark, by_key):
         [("A", "C", 1.0), ("A", "I", 3.0), ("A", None, 50.0), ("B", None, 9.0), ("D", "Z", 2.0)],
         "ndc string, pharmacy_type string, nadac_per_unit double",
     )
-    rows = by_key(analysis.price_pivot(pricing, ["C", "I"]), "ndc")
-    assert rows == {
-        "A": {"ndc": "A", "C": 1.0, "I": 3.0}, "D": {"ndc": "D", "C": None, "I": None},
+    want = {
+        "A": {"ndc": "A", "C": 1.0, "I": 3.0, "Z": None},
+        "D": {"ndc": "D", "C": None, "I": None, "Z": 2.0},
     }
+    assert by_key(analysis.price_pivot(pricing), "ndc") == want
+    assert by_key(analysis.price_pivot(pricing, ["C", "I", "Z"]), "ndc") == want
     by_type = by_key(analysis.price_by_pharmacy_type(pricing), "pharmacy_type")
     assert set(by_type) == {"C", "I", "Z"} and by_type["C"]["stddev_nadac"] is None
 
