@@ -2,8 +2,45 @@
 
 from __future__ import annotations
 
-from rxlake.functions.states import STATE_CODES
-from rxlake.sources.schemas import CONDITION_FLAGS, PATIENTS
+# Fixed values, kept here a second time so that an error in the package shows: the state lookup,
+# the condition flags, and the patient columns in file order.
+STATE_CODES = {
+    "00": "04", "01": "01", "02": "02", "03": "04", "04": "05", "05": "06", "06": "08",
+    "07": "09", "08": "10", "09": "11", "10": "12", "11": "13", "12": "15", "13": "16",
+    "14": "17", "15": "18", "16": "19", "17": "20", "18": "21", "19": "22", "20": "23",
+    "21": "24", "22": "25", "23": "26", "24": "27", "25": "28", "26": "29", "27": "30",
+    "28": "31", "29": "32", "30": "33", "31": "34", "32": "35", "33": "36", "34": "37",
+    "35": "38", "36": "39", "37": "40", "38": "41", "39": "42", "40": "72", "41": "44",
+    "42": "45", "43": "46", "44": "47", "45": "48", "46": "49", "47": "50", "48": "78",
+    "49": "51", "50": "53", "51": "54", "52": "55", "53": "56", "54": "16", "55": "06",
+    "56": "CA", "57": "36", "58": "54", "59": "MX", "64": "60", "65": "66", "66": "69",
+    "67": "48", "68": "12", "69": "12", "70": "20", "71": "22", "72": "39", "73": "42",
+    "74": "48", "75": "06", "76": "19", "77": "27", "78": "17", "79": "29", "80": "24",
+    "81": "09", "82": "25", "83": "34", "84": "72", "85": "13", "86": "37", "87": "45",
+    "88": "47", "89": "05", "90": "40", "91": "08", "92": "06", "93": "41", "94": "53",
+    "95": "22", "96": "35", "97": "48", "99": None,
+    "A0": "37", "A1": "37", "A2": "12", "A3": "22", "A4": "26", "A5": "28", "A6": "39",
+    "A7": "42", "A8": "47", "A9": "48", "B0": "21", "B1": "54", "B2": "37",
+}
+CONDITION_FLAGS = {
+    "SP_ALZHDMTA": "cc_alzheimers",
+    "SP_CHF": "cc_heart_failure",
+    "SP_CHRNKIDN": "cc_chronic_kidney",
+    "SP_CNCR": "cc_cancer",
+    "SP_COPD": "cc_copd",
+    "SP_DEPRESSN": "cc_depression",
+    "SP_DIABETES": "cc_diabetes",
+    "SP_ISCHMCHT": "cc_ischemic_heart",
+    "SP_OSTEOPRS": "cc_osteoporosis",
+    "SP_RA_OA": "cc_arthritis",
+    "SP_STRKETIA": "cc_stroke_tia",
+}
+PATIENT_COLUMNS = (
+    "BENE_BIRTH_DT BENE_DEATH_DT BENE_SEX_IDENT_CD BENE_RACE_CD SP_STATE_CODE BENE_COUNTY_CD "
+    "BENE_HI_CVRAGE_TOT_MONS BENE_SMI_CVRAGE_TOT_MONS PLAN_CVRG_MOS_NUM SP_ALZHDMTA SP_CHF "
+    "SP_CHRNKIDN SP_CNCR SP_COPD SP_DEPRESSN SP_DIABETES SP_ISCHMCHT SP_OSTEOPRS SP_RA_OA "
+    "SP_STRKETIA MEDREIMB_IP MEDREIMB_OP MEDREIMB_CAR BENRES_IP BENRES_OP BENRES_CAR "
+).split()
 
 # --- SQL fragments -----------------------------------------------------------------------
 
@@ -76,7 +113,7 @@ ORDER_FLAGS = [
     for i, name in enumerate(CONDITION_FLAGS)
 ]
 PATIENT_TIES = ", ".join(
-    f"{c} ASC NULLS FIRST" for c in PATIENTS.names if c != "DESYNPUF_ID"
+    f"{c} ASC NULLS FIRST" for c in PATIENT_COLUMNS
 )
 
 CTES: dict[str, tuple[list[str], str]] = {}
