@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlake.llm.components import components
-from rxlake.llm.words import LOWER, chunks, mix
+from rxlake.llm.words import LOWER, chunks, give_back, mix
 from rxlake.sources.scratch import stored
 
 
@@ -179,6 +179,8 @@ def _sets(docs: DataFrame, join: Join) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names)
         if held:
             yield often()
+        held = []
+        give_back()
 
     return stored(docs.mapInArrow(run, schema), "sets")
 
@@ -232,9 +234,9 @@ def _entries(docs: DataFrame, join: Join, boundary: int, frequent: np.ndarray) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for whole in batches:
-            for start in range(0, whole.num_rows, 2000):
+            for start in range(0, whole.num_rows, 500):
                 parts = []
-                for _, grams in row_sets(whole.column(0).slice(start, 2000), join.words):
+                for _, grams in row_sets(whole.column(0).slice(start, 500), join.words):
                     n = len(grams)
                     key = _set_id(grams) if n else None
                     if key is None or key in seen:
@@ -250,6 +252,7 @@ def _entries(docs: DataFrame, join: Join, boundary: int, frequent: np.ndarray) -
                     columns = [np.repeat([p[i] for p in parts], sizes) for i in (0, 2, 3)]
                     grams = np.concatenate([p[1] for p in parts]).view(np.int64)
                     yield _batch([columns[0], grams, columns[1], columns[2]], types, names)
+        give_back()
 
     return docs.select("text").mapInArrow(run, "light boolean, gram long, set_id long, ranked long")
 
@@ -353,6 +356,7 @@ def _bodies(docs: DataFrame, ids: DataFrame, join: Join) -> DataFrame:
                     rows.append((key, packer.compress(column[row].as_py().encode())))
                 if rows:
                     yield _batch(list(zip(*rows)), types, names)
+        give_back()
 
     found = docs.select("text").mapInArrow(run, "set_id long, body binary")
     return stored(found.dropDuplicates(["set_id"]), "bodies")
@@ -391,6 +395,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, join: Join, tasks: int, salts:
                         found.append((a, b))
                 if found:
                     yield _batch(list(zip(*found)), [pa.int64(), pa.int64()], ["a", "b"])
+        give_back()
 
     placed = rows.repartition(tasks, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     return placed.mapInArrow(run, "a long, b long")
@@ -493,6 +498,8 @@ def _across(lists: DataFrame, label: DataFrame, sets: DataFrame, join: Join, tas
             held.append([c[start:] for c in columns])
         if held:
             yield from pairs([np.concatenate(c) for c in zip(*held)])
+        held = []
+        give_back()
 
     placed = rows.repartition(tasks, "gram", "p", "q").sortWithinPartitions("gram", "p", "q", "n", "set_id")
     shared = placed.mapInArrow(run, "a long, b long, apart long, need long").groupBy("a", "b")

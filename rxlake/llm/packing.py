@@ -27,6 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from rxlake.llm.words import give_back
+
 _TAIL = r"^(?P<core>.*[\p{Ll}\p{Nd}])(?P<tail>[.,;:!?]+)$"  # lower-casing turns some other letters into letter and mark
 
 
@@ -39,7 +41,7 @@ class WordTokenizer:
     own after a letter or digit; a run that may hold a special token is left as it is.
     """
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    def __init__(self, path: str, remembered: int = 100_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -223,8 +225,8 @@ def pack(
         block = _Block(settings, TaskContext.get().partitionId() << 33)
         for whole in batches:
             id_type = whole.column(0).type
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
                 ids, ends = words.ids(batch.column(1))
                 for row, doc in enumerate(batch.column(0).to_pylist()):
                     own = ids[ends[row] : ends[row + 1]]
@@ -236,5 +238,6 @@ def pack(
         block.flush(True)
         if block.rows:
             yield rows_of(block, id_type)
+        give_back()
 
     return source.mapInArrow(run, schema)

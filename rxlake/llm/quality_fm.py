@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxlake.llm.words import Chunk, chunks
+from rxlake.llm.words import Chunk, chunks, give_back
 
 STATISTICS = [
     "log_words", "log_bytes", "word_length", "long_word_share", "symbol_share", "bar_share",
@@ -247,6 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), tar
             parts = [np.array([model.bias]), model.weights, model.factors.ravel(), model.mean, model.scale]
             whole = np.concatenate([x.astype("<f8") for x in parts]).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], ["model"])
+        give_back()
 
     schema = pa.schema([("doc_id", pa.string()), ("text", pa.large_string()), ("label", pa.int32())])
     rows = training_rows(docs, labels, target, settings.max_rows)
@@ -274,6 +275,7 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score", b
             got = score_column(model, batch.column(batch.schema.get_field_index(text)), buckets)
             columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(got, pa.float64())], [*keep, out])
+        give_back()
 
     fields = df.select(*keep).schema.add(out, "double")
     return df.select(*keep).mapInArrow(run, fields)

@@ -7,6 +7,7 @@ piece, so memory follows the longest single text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +53,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as Python workers stay for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and the n + 1 offsets of its rows; NULL counts as empty."""
     if isinstance(column, pa.ChunkedArray):
