@@ -6,8 +6,11 @@ document or later in the same one, are repeats; the first occurrence, by documen
 kept and all sentences that any other occurrence covers are removed.
 
 A sentence ends at a line end or at ``.``, ``!`` or ``?`` before white space. A sentence of more than
-``long`` words is cut after words chosen by their hash, so that equal passages are cut alike wherever
-they stand. Sentences are compared by their words, case and spacing aside.
+``long`` words is cut after the word of the least hash of every ``cut`` consecutive words, the rightmost
+of equal ones. So equal passages are cut alike wherever they stand but for at most ``cut`` words at
+either end, or ``long`` where a short sentence is broken off there, and no piece is longer than
+``long``: any passage of 51 words holds three whole pieces of 15 words and more. Sentences are compared
+by their words, case and spacing aside.
 
 Repeats within a block of a task are marked there and leave one row per run for the shuffle, so a
 passage that very many documents share does not make a hot key.
@@ -39,7 +42,7 @@ class Spans:
     run: int = 3
     least_words: int = 15
     long: int = 12  # words of a sentence that is not cut
-    cut: int = 8  # one word in so many ends a piece of a longer one
+    cut: int = 8  # one of so many consecutive words at least ends a piece of a longer one
     block: int = 1_000_000  # spans whose repeats are marked before the shuffle
 
 
@@ -53,6 +56,20 @@ def _ends_by_mark(chunk: Chunk) -> np.ndarray:
     return stop
 
 
+def _least(h: np.ndarray, start: np.ndarray, to: np.ndarray, window: int) -> np.ndarray:
+    """Which words have the least hash of a window inside their sentence, the rightmost of equal ones."""
+    chosen = np.zeros(len(h), bool)
+    best, width = np.arange(len(h)), 1
+    while width < min(window, len(h)):
+        step = min(width, window - width, len(best) - 1)
+        left, right = best[:-step], best[step:]
+        best = np.where(h[right] <= h[left], right, left)
+        width += step
+    inside = np.repeat(to, to - start)[: len(best)] - np.arange(len(best)) >= window
+    chosen[best[inside]] = True
+    return chosen
+
+
 def sentences(column: pa.Array, spans: Spans) -> Iterator[tuple[Chunk, np.ndarray, np.ndarray, np.ndarray]]:
     """Per chunk: the number of its first and behind its last word, and the hash, of each sentence."""
     for chunk in chunks(column, LOWER):
@@ -64,7 +81,7 @@ def sentences(column: pa.Array, spans: Spans) -> Iterator[tuple[Chunk, np.ndarra
         to = np.flatnonzero(stop) + 1
         start = np.concatenate([[0], to[:-1]])
         in_long = np.repeat(to - start > spans.long, to - start)
-        to = np.flatnonzero(stop | (in_long & (h % np.uint64(spans.cut) == 0))) + 1
+        to = np.flatnonzero(stop | (in_long & _least(h, start, to, spans.cut))) + 1
         start = np.concatenate([[0], to[:-1]])
         place = (np.arange(len(h)) - np.repeat(start, to - start)).astype(np.uint64)
         keyed = mix(h ^ mix(place + np.uint64(1)))

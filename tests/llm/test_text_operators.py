@@ -213,6 +213,49 @@ def test_long_passages_go_wherever_they_stand(spark, stop):
         assert texts[1][s.start : s.end] not in rows[1].text
 
 
+@pytest.mark.parametrize("stops", [0, 1, 4])
+@pytest.mark.parametrize("distinct", [1, 2, 5, 60])
+def test_any_passage_of_51_words_is_found(spark, stops, distinct):
+    rnd = random.Random(100 * stops + distinct)
+    count = iter(range(10**6))
+
+    def other():
+        return " ".join(f"u{next(count)}" for _ in range(rnd.randint(0, 30)))
+
+    texts, shared = [], []
+    for k in range(25):
+        pool = [f"p{k}x{i}" for i in range(distinct)]
+        passage = [rnd.choice(pool) for _ in range(51)]
+        for at in rnd.sample(range(51), stops):
+            passage[at] += "."
+        shared.append(set(passage))
+        texts += [" ".join([other(), *passage, other()]) for _ in range(2)]
+    rows = {r.doc_id: r for r in span_dedup.remove_repeats(docs(spark, texts)).collect()}
+    for k, words_of in enumerate(shared):
+        first, again = rows[2 * k], rows[2 * k + 1]
+        if distinct == 60:  # no repeats inside a passage
+            assert first.text == texts[2 * k]
+        gone = [w for s in again.removed for w in texts[2 * k + 1][s.start : s.end].split()]
+        assert sum(w in words_of for w in gone) >= 27 and len(gone) < 51 + 12
+
+
+def test_no_piece_is_longer_than_a_window():
+    rnd = random.Random(11)
+    spans = span_dedup.Spans()
+    for distinct in (1, 2, 3, 50, 10_000):
+        texts = [" ".join(f"v{rnd.randrange(distinct)}" for _ in range(n)) for n in (13, 14, 40, 3000)] + ["a b"] + [None]
+        for chunk, start, to, _ in span_dedup.sentences(pa.array(texts), spans):
+            long = np.diff(chunk.word_offsets)[chunk.word_row[start]] > spans.long
+            assert (to - start)[long].max() <= spans.cut and (to - start).sum() == len(chunk.starts)
+            # Every cut is the rightmost least of a window, and every window has its cut.
+            h, ends = chunk.hashes(), set((to - 1).tolist())
+            for a, b in zip(chunk.word_offsets[:-1], chunk.word_offsets[1:]):
+                if b - a <= spans.long:
+                    continue
+                want = {i + max(j for j in range(8) if h[i + j] == h[i : i + 8].min()) for i in range(a, b - 7)}
+                assert want | {b - 1} == {e for e in ends if a <= e < b}
+
+
 def test_spans_of_copies_ties_and_empty_tables(spark):
     text = ". ".join(f"one two three four five six {i}" for i in range(6)) + "."
     rows = [(4, text), (2, text), (2, text), (None, text)]
