@@ -31,21 +31,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group.
+    """The document of the smallest id of each group, of equal ids the one of the smallest text hash.
 
-    Rows equal in id and text become one. Rows without an id or without words stand for themselves
-    and stay.
+    A document is told by id and text, so others of its id are judged by their own texts. A NULL id
+    comes last. Rows equal in id and text become one. Rows without words stand for themselves and
+    stay, without an id also if they are equal.
     """
-    docs = docs.select(*COLUMNS)
-    groups = stored(jaccard.near_duplicates(docs), "groups")
-    others = groups.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").select(*COLUMNS)
-    repeated = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    repeated = stored(repeated, "repeated")
+    docs = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64("text"))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("_hash").alias("hash"))
+    keyed = docs.select(F.when(F.col("_hash").isNotNull(), key).alias("doc_id"), "text")  # nullable, as the join has rows without a key
+    groups = stored(jaccard.near_duplicates(keyed), "groups")
+    first = F.col("component_id").eqNullSafe(F.col("doc_id"))
+
+    def named(keys: DataFrame) -> DataFrame:
+        return keys.select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.hash").alias("_text"))
+
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
+    kept = docs.join(named(groups.filter(~first).select("doc_id").distinct()), same, "left_anti")
+    repeated = groups.filter(first & (~F.col("doc_id.no_id") | (F.col("n_shingles") > 0)))
+    repeated = stored(named(repeated.groupBy("doc_id").count().filter("count > 1")), "repeated")
     if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(again)
+        return kept.select(*COLUMNS)
+    again = kept.join(repeated, same, "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, same, "left_anti").select(*COLUMNS).unionByName(again)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

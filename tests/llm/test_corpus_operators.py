@@ -371,3 +371,23 @@ def test_stages_take_effect_and_keep_clean_documents(spark, tmp_path):
     assert {"doc_id", "start", "length", "sequence_id"} <= set(packed.columns) and packed.count() > 0
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, data.limit(0), folder).count() == 0, name
+
+
+def test_near_duplicates_are_told_by_id_and_text(spark):
+    rnd = random.Random(13)
+    a, b, c, d = (prose(rnd, 80) for _ in range(4))
+    rows = [
+        (1, a), (5, a + " end"), (5, b), (5, b), (3, c), (3, c + " end"), (None, d), (None, d + " end"), (None, d),
+        (None, a + " tail"), (8, None), (8, None), (None, " "), (None, " "),
+    ]
+    passage = prose(rnd, 9)  # frequent n-grams, in documents that are no copies
+    rows += [(i, f"{prose(rnd, 60)} {passage}") for i in range(100, 200)]
+    df = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], DOCS)
+    got = [(r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df.repartition(3), "").collect()]
+    assert sum((i or 0) >= 100 for i, _ in got) == 100
+    got = [(i, t) for i, t in got if (i or 0) < 100]
+    third = [t for i, t in got if i == 3]
+    last = [t for i, t in got if i is None and t.strip()]
+    assert len(third) == 1 and third[0].startswith(c) and len(last) == 1 and last[0].startswith(d)
+    rest = [(i, t) for i, t in got if i != 3 and not (i is None and t.strip())]
+    assert sorted(rest, key=str) == sorted([(1, a), (5, b), (8, None), (None, " "), (None, " ")], key=str)
