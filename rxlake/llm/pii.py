@@ -22,7 +22,9 @@ EMAIL = (
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+# Looks ahead for the longest proposal and takes up only its head, so that another may begin inside it.
+IBAN = r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9]))[A-Z]{2}[0-9]{2}"
+IBAN_HEAD = 4
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string,score:double>>"
@@ -57,6 +59,16 @@ def mod97_valid(text: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), step) == 1
 
 
+def _iban_width(text: Column) -> Column:
+    """The length of the longest valid account number that a proposal begins with, ending at a blank."""
+    words = F.split(text, r"\x20", -1)
+    starts = F.transform(
+        F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " ")
+    )
+    long_enough = F.filter(starts, lambda s: F.length(F.regexp_replace(s, r"\x20", "")) >= 15)
+    return F.length(F.get(F.filter(long_enough, mod97_valid), 0))
+
+
 def _ip_valid(text: Column) -> Column:
     # Leading zeros count for nothing, so at most three digits are left of a part up to 255.
     def fits(part: Column) -> Column:
@@ -90,6 +102,7 @@ class Kind:
     context: str
     bonus: float = 0.3
     always: bool = False
+    width: object = None  # of a confirmed part, where a match is only the head of a proposal looked ahead for
 
 
 # Kinds in the order in which spans of one start are listed. The first four stay at any score.
@@ -98,29 +111,37 @@ KINDS = [
     Kind("ip", IP, ".", _ip_valid, 0.5, "ip|host|server|address|login", always=True),
     Kind("card", CARD, "", _card_valid, 0.7, "card|visa|credit|payment|account", always=True),
     Kind("phone", PHONE, "+", _digit_count_between(10, 15), 0.5, "phone|call|tel|mobile|fax", always=True),
-    Kind("iban", IBAN, "", mod97_valid, 0.8, "iban|bank|account|transfer"),
+    Kind("iban", IBAN, "", None, 0.8, "iban|bank|account|transfer", width=_iban_width),
     Kind("ssn", SSN, "-", _ssn_valid, 0.3, "ssn|social|security|taxpayer"),
 ]
 CONTEXT_CHARS = 40
 
 
 def _proposals(text: Column, kind: Kind) -> Column:
-    """Confirmed spans of one kind.
+    """Confirmed spans of one kind, none of which overlap.
 
     Splitting at a pattern gives the gaps between the very matches that extraction gives, so
     running sums of both lengths are the matches' positions.
     """
     maybe = text.contains(kind.hint) if kind.hint else text.rlike(kind.pattern)
-    found = F.when(maybe, F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)))
+    found = F.when(maybe, F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0 if kind.width is None else 1)))
+
+    def piece(gap: Column, hit: Column) -> Column:
+        if kind.width is None:
+            taken = width = F.length(hit)
+            valid = F.coalesce(kind.valid(hit), F.lit(False))
+        else:
+            taken, width = F.lit(IBAN_HEAD), kind.width(hit)
+            valid = width.isNotNull()
+        return F.struct(
+            F.length(gap).alias("gap"), taken.alias("taken"), F.coalesce(width, F.lit(0)).alias("width"), valid.alias("valid")
+        )
+
     gaps = F.when(F.size(found) > 0, F.split(text, kind.pattern, -1))
     marked = F.zip_with(
         F.slice(gaps, F.lit(1), F.size(found)),
         found,
-        lambda gap, hit: F.struct(
-            F.length(gap).alias("gap"),
-            F.length(hit).alias("width"),
-            F.coalesce(kind.valid(hit), F.lit(False)).alias("valid"),
-        ),
+        piece,
     )
     none_yet = F.array().cast("array<struct<start:int,end:int>>")
     start = F.struct(F.lit(0).alias("at"), none_yet.alias("spans"))
@@ -129,9 +150,10 @@ def _proposals(text: Column, kind: Kind) -> Column:
         begin = seen["at"] + piece["gap"]
         end = begin + piece["width"]
         span = F.struct(begin.alias("start"), end.alias("end"))
+        last = F.coalesce(F.get(seen["spans"], F.size(seen["spans"]) - 1)["end"], F.lit(0))
         return F.struct(
-            end.alias("at"),
-            F.when(piece["valid"], F.concat(seen["spans"], F.array(span)))
+            (begin + piece["taken"]).alias("at"),
+            F.when(piece["valid"] & (begin >= last), F.concat(seen["spans"], F.array(span)))
             .otherwise(seen["spans"])
             .alias("spans"),
         )

@@ -88,6 +88,20 @@ def test_checksums_and_context_decide(spark):
     assert [r.spans for r in found] == ["iban:5:27", "", "ssn:10:21", "", ""]
 
 
+def test_account_numbers_end_before_what_follows(spark):
+    gb, de = "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00"
+    cases = [
+        (f"{gb} 2024", [gb]), (f"{gb} I", [gb]), (f"é {gb} BY 2024 OK.", [gb]), (f"{gb} {de}", [gb, de]),
+        (f"AB13 {gb} {de} X 9", [gb, de]), (f"{gb}", [gb]), (f"{gb}, {de}7", [gb]), ("GB82 WEST 1234 5698 7654 33 2024", []),
+        (f"{gb.replace(' ', '')} 12 {de.replace(' ', '')} A1", [gb.replace(" ", ""), de.replace(" ", "")]), (None, []),
+    ]
+    found = {r.doc_id: r.pii_spans for r in pii.find_pii(docs(spark, [t for t, _ in cases])).collect()}
+    for i, (text, want) in enumerate(cases):
+        assert [text[s.start : s.end] for s in found[i] if s.kind == "iban"] == want
+    clean = pii.redact(docs(spark, [f"to {gb} 2024 from {de} I"])).first()
+    assert clean.text == "to [IBAN] 2024 from [IBAN] I"
+
+
 def test_redaction_keeps_the_rest_and_clashing_columns_go(spark):
     df = docs(spark, ["é a@b.cd x", None, "clean"]).selectExpr("*", "1 AS pii_spans")
     assert [r.text for r in pii.redact(df).orderBy("doc_id").collect()] == ["é [EMAIL] x", None, "clean"]
