@@ -15,8 +15,9 @@ one block per source is left.
 Defined results: a NULL or blank text has size 0 and is taken 0 words. NULL is a source of its own
 and comes last. Repeated rows are documents of their own. Without any words nothing is taken and all
 targets are 0; an empty table gives no rows. Equal input gives equal results, in any partitioning if
-all rows have an id. Rows without one are spread over blocks by their place in the input. Extra
-columns stay if asked for, unless a result has their name.
+all rows have an id. Rows without one are spread over blocks by their place in the input, rows equal
+in id and text by their number among these, whichever of them has it. Extra columns stay if asked for,
+unless a result has their name.
 """
 
 from __future__ import annotations
@@ -150,7 +151,7 @@ def _flight(landing: bool, aside: int, seed: int) -> Callable[[pd.DataFrame], pd
     """The flight of one block, with the landing behind it if nothing follows."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["size", "_order", "_uid"], ascending=[False, True, True], kind="stable")
+        block = block.sort_values(["size", "_order", "_salt", "_uid"], ascending=[False, True, True, True], kind="stable")
         size = block["size"].to_numpy(float)
         rng = np.random.default_rng([seed, int(block["_order"].min()) & ((1 << 63) - 1)])
         chance = block["_chance"].to_numpy(float)
@@ -163,6 +164,32 @@ def _flight(landing: bool, aside: int, seed: int) -> Callable[[pd.DataFrame], pd
     return run
 
 
+def _salted(rows: DataFrame) -> DataFrame:
+    """Add what spreads rows of one hash over blocks: 0 for the first, and the number of each other.
+
+    Equal rows are numbered within their input partition behind those of the partitions before it, so no
+    task gets all of them; which one has a number is all the same.
+    """
+    rows = rows.withColumn("_part", F.shiftright("_uid", 33))
+    counts = rows.filter("NOT _no_id").groupBy("source", "_order", "_part").agg(F.count("*").alias("_many"))
+    # A row per hash and partition at most.
+    of = Window.partitionBy("source", "_order")
+    before = F.sum("_many").over(of.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumns({"_before": F.coalesce(before, F.lit(0)), "_all": F.sum("_many").over(of)})
+    again = counts.filter("_all > 1").select(
+        F.col("source").alias("_s"), F.col("_order").alias("_o"), F.col("_part").alias("_p"), "_before"
+    )
+    again = stored(again, "again")
+    own = F.when(F.col("_no_id"), F.col("_uid")).otherwise(F.lit(0).cast("long"))
+    if again.isEmpty():
+        return rows.withColumn("_salt", own).drop("_part")
+    same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("_order") == F.col("_o")) & (F.col("_part") == F.col("_p"))
+    found = rows.join(again, same & ~F.col("_no_id"), "left")
+    number = F.row_number().over(Window.partitionBy("source", "_order", "_part", "_no_id").orderBy("_uid"))
+    salt = F.when(F.col("_before").isNotNull(), F.col("_before") + number - 1).otherwise(own)
+    return found.withColumn("_salt", salt).drop("_part", "_s", "_o", "_p", "_before")
+
+
 def mix_sources(
     df: DataFrame, mix: Mix = Mix(), text: str = "text", source: str = "source", doc_id: str = "doc_id",
     keep: list[str] | None = None,
@@ -183,9 +210,7 @@ def mix_sources(
         ),
         "_text",
     ).drop("_text")
-    docs = stored(slim.withColumn("_uid", F.monotonically_increasing_id()), "sizes").withColumn(
-        "_salt", F.when(F.col("_no_id"), F.col("_uid")).otherwise(0)
-    )
+    docs = stored(slim.withColumn("_uid", F.monotonically_increasing_id()), "sizes")
     per_source = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
     wanted = stored(
         targets(per_source, mix).join(
@@ -195,7 +220,9 @@ def mix_sources(
     ).withColumnRenamed("source", "_source")
     ready = docs.join(wanted, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     whole = F.floor("ratio")
-    open_rows = ready.select("_uid", "_order", "_salt", "source", "size", "_docs", (F.col("ratio") - whole).alias("_chance"))
+    chance = (F.col("ratio") - whole).alias("_chance")
+    open_rows = ready.select("_uid", "_order", "_no_id", "source", "size", "_docs", chance)
+    open_rows = _salted(open_rows).drop("_no_id")
     decided = None
     most = wanted.agg(F.max("_docs")).first()[0] or 0
     while True:

@@ -246,6 +246,32 @@ def test_targets_and_totals(spark, partitions):
     assert [(r.taken, r.target) for r in blank] == [(0, 0.0)] * 2
 
 
+def test_equal_rows_do_not_share_one_block(spark, partitions, monkeypatch):
+    rnd = random.Random(12)
+    rows = [(7, "one two three four", "en", "a" if i % 2 else None, i % 2) for i in range(1600)]
+    rows += [(i, prose(rnd, rnd.randint(1, 40)), "en", rnd.choice(["a", None, "b"]), None) for i in range(10, 2410)]
+    df = spark.createDataFrame(rows, DOCS)
+    flight = mixing._flight
+
+    def small(*settings):
+        run = flight(*settings)
+
+        def checked(block):
+            assert len(block) <= 200
+            return run(block)
+
+        return checked
+
+    monkeypatch.setattr(mixing, "_flight", small)
+    mix = mixing.Mix(block=100)
+    results = partitions(lambda n: mixing.mix_sources(df.repartition(n), mix).collect(), (1, 4))
+    assert sorted(map(tuple, results[0]), key=str) == sorted(map(tuple, results[1]), key=str)
+    assert len(results[0]) == len(rows)
+    for s in ("a", "b", None):
+        own = [r for r in results[0] if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 40
+
+
 def test_a_flight_keeps_both_totals():
     rng = np.random.default_rng(7)
     size, chance = rng.integers(1, 100, 500).astype(float), rng.random(500)
