@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.llm import (
+    filter_audit,
     jaccard,
     mixing,
     packing,
@@ -111,6 +112,11 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove per language in every order, and what they would cost."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
@@ -123,6 +129,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_rules": op9_rules,
         "op10_jaccard": op10_jaccard,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
@@ -143,5 +150,47 @@ FROM f
 """
 
 
+OP11_SQL = r"""
+WITH labelled AS (
+    SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+    FROM labels GROUP BY doc_id
+), t AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+    FROM documents
+), m AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           CAST(len(words) < 200 AS INT)
+           + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+           + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS INT)
+           + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+           + 16 * CAST(coalesce(t.doc_id > first, false) AS INT) AS mask
+    FROM t LEFT JOIN labelled USING (doc_id)
+), counts AS (
+    SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask
+), f AS (
+    SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(name, bit)
+), orders AS (
+    SELECT a.name || b.name || c.name || d.name || e.name AS filter_order,
+           [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM f a, f b, f c, f d, f e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+    SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+    FROM orders, (SELECT unnest(range(1, 6))::INT AS step)
+)
+SELECT part, filter_order, step,
+       CAST(coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS BIGINT) AS kept,
+       CAST(coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before = 0), 0) AS BIGINT) AS removed,
+       CAST(coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before > 0), 0) AS BIGINT) AS redundant,
+       CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(sum(good) FILTER (mask & bit > 0 AND mask & before = 0), 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(sum(toxic) FILTER (mask & bit > 0 AND mask & before = 0), 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(n * (120 // greatest(bit_count(mask), 1))) FILTER (mask & bit > 0), 0) AS BIGINT) AS shapley
+FROM counts, steps
+GROUP BY part, filter_order, step
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL}
+    return {"op6_warc": OP6_SQL, "op11_filter_audit": OP11_SQL}
