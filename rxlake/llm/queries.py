@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.llm import (
+    conversation_trie,
     filter_audit,
     jaccard,
     mixing,
@@ -117,6 +118,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared beginning of the rebuilt conversations."""
+    return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
@@ -130,6 +136,7 @@ def queries() -> dict[str, Query]:
         "op9_rules": op9_rules,
         "op10_jaccard": op10_jaccard,
         "op11_filter_audit": op11_filter_audit,
+        "op12_conversation_trie": op12_conversation_trie,
     }
 
 
@@ -192,5 +199,56 @@ GROUP BY part, filter_order, step
 """
 
 
+# The checksum is worked out bit by bit from its polynomial.
+OP12_SQL = r"""
+WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (
+               PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')
+           ) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base,
+           xor(list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+               lambda crc, b: list_reduce(
+                   list_concat([xor(crc, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                   lambda x, i: xor(x >> 1, 3988292384 * (x & 1))
+               )
+           ), 4294967295) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+    SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.base AND pos <= h
+    UNION ALL
+    SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h
+), p AS (
+    SELECT conv_id, row_number() OVER w AS depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+           string_agg(md5(role) || md5(text), '') OVER w AS path
+    FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+    UNION ALL
+    SELECT conv_id, 0, 0, '' FROM c
+), ends AS (
+    SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+    FROM (SELECT conv_id, max_by(path, depth) AS path FROM p GROUP BY conv_id) GROUP BY path
+), n AS (
+    SELECT path, depth, left(path, 64 * (depth - 1)::BIGINT) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+           any_value(words) AS words
+    FROM p GROUP BY path, depth
+), k AS (
+    SELECT up, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY up
+), below AS (
+    SELECT a.path, sum(CAST(k.n_children IS NULL AS INT)) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved
+    FROM n a JOIN n b ON starts_with(b.path, a.path) LEFT JOIN k ON k.up = b.path
+    GROUP BY a.path
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, CASE WHEN n.depth > 0 THEN m.conv_id END AS parent_conv_id,
+       CAST(n.n_convs AS BIGINT) AS n_convs, CAST(coalesce(k.n_children, 0) AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM n JOIN below USING (path) LEFT JOIN k ON k.up = n.path LEFT JOIN ends ON ends.path = n.path
+LEFT JOIN n m ON m.path = n.up AND n.depth > 0
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL, "op11_filter_audit": OP11_SQL}
+    return {"op6_warc": OP6_SQL, "op11_filter_audit": OP11_SQL, "op12_conversation_trie": OP12_SQL}
