@@ -11,6 +11,7 @@ from rxlake.llm import (
     conversation_trie,
     filter_audit,
     jaccard,
+    language_model,
     mixing,
     packing,
     pii,
@@ -123,6 +124,11 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document by word frequency and by the language model."""
+    return language_model.score(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
@@ -137,6 +143,7 @@ def queries() -> dict[str, Query]:
         "op10_jaccard": op10_jaccard,
         "op11_filter_audit": op11_filter_audit,
         "op12_conversation_trie": op12_conversation_trie,
+        "op13_language_model": op13_language_model,
     }
 
 
