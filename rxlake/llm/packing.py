@@ -32,34 +32,99 @@ from rxlake.llm.words import give_back
 _TAIL = r"^(?P<core>.*[\p{Ll}\p{Nd}])(?P<tail>[.,;:!?]+)$"  # lower-casing turns some other letters into letter and mark
 
 
+def _gather(flat: np.ndarray, ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``which`` of ``flat`` one after another, and their n + 1 offsets."""
+    length = (ends[1:] - ends[:-1])[which]
+    total = np.zeros(len(which) + 1, np.int64)
+    np.cumsum(length, out=total[1:])
+    return flat[np.repeat(ends[which] - total[:-1], length) + np.arange(total[-1])], total
+
+
 class WordTokenizer:
     """Token ids of whole Arrow columns for a tokenizer that works word by word.
 
     The tokenizer drops white space and no token spans it, so a text's ids are those of its
-    blank-separated runs in order. Each distinct run is encoded once per batch, frequent ones once
-    per worker. A run is looked up in lower case and without closing marks, which are words of their
-    own after a letter or digit; a run that may hold a special token is left as it is.
+    blank-separated runs in order. Each distinct run is encoded once per batch, and words in use are
+    remembered per worker. A run is looked up in lower case and without closing marks, which are
+    words of their own after a letter or digit; a run that may hold a special token is left as it is.
+
+    New words of letters only are encoded many at a time as one text. Each ends in the one token with
+    a word end, where the ids are cut again; if the numbers of words and word ends differ, word by word.
     """
 
-    def __init__(self, path: str, remembered: int = 100_000):
+    def __init__(self, path: str, remembered: int = 300_000, together: int = 100):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.remembered = remembered
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        known = self.known
-        missing = [w for w in words if w not in known]
-        fresh = {}
-        for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                fresh[word] = np.array(got.ids, "<u4").tobytes()
-        out = [known[w] if w in known else fresh[w] for w in words]
-        if len(known) < self.remembered:
-            known.update(fresh)
-        return out
+        self.remembered, self.together = remembered, together
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_end = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._keep([], np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0))
+
+    def _keep(self, words: list[str], flat: np.ndarray, ends: np.ndarray, uses: np.ndarray) -> None:
+        self.words, self.flat, self.ends, self.uses = words, flat, ends, uses
+        self.place = {w: i for i, w in enumerate(words)}
+
+    def _encode_each(self, words: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(x.ids, np.uint32) for x in found]
+
+    def _encode_together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        texts = [" ".join(words[at : at + self.together]) for at in range(0, len(words), self.together)]
+        flat = np.concatenate(self._encode_each(texts))
+        ends = np.flatnonzero(self.word_end[flat]) + 1
+        if len(ends) != len(words) or ends[-1] != len(flat):
+            return None
+        return flat, np.concatenate([[0], ends])
+
+    def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, in their order, and n + 1 offsets."""
+        letters = np.asarray(pc.match_substring_regex(words, r"^\p{Ll}+$"))
+        texts = words.to_pylist()
+        flats, lengths = [], np.zeros(len(words), np.int64)
+        order = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
+        plain, at = int(letters.sum()), 0
+        while at < len(order):
+            some = order[at : min(at + 20_000, plain if at < plain else len(order))]
+            found = self._encode_together([texts[i] for i in some]) if at < plain else None
+            if found is None:
+                each = self._encode_each([texts[i] for i in some])
+                found = np.concatenate(each), np.cumsum([0, *map(len, each)])
+            flats.append(found[0])
+            lengths[some] = np.diff(found[1])
+            at += len(some)
+        if not flats:
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return _gather(np.concatenate(flats), np.concatenate([[0], np.cumsum(lengths[order])]), back)
+
+    def _look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of remembered words with their ends, and the place of each of the given words."""
+        self._forget()
+        texts = words.to_pylist()
+        known = self.place
+        place = np.array([known.get(w, -1) for w in texts], np.int64)
+        new = np.flatnonzero(place < 0)
+        flat, ends = self._encode(words.take(pa.array(new)))
+        first = len(self.words)
+        place[new] = first + np.arange(len(new))
+        fresh = [texts[i] for i in new]
+        known.update(zip(fresh, range(first, first + len(fresh))))
+        self.words += fresh
+        self.ends = np.concatenate([self.ends, len(self.flat) + ends[1:]])
+        self.flat = np.concatenate([self.flat, flat])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new))])
+        self.uses[place] += 1
+        return self.flat, self.ends, place
+
+    def _forget(self) -> None:
+        """Beyond the limit the half that was used in fewest batches goes, older uses counting less."""
+        if len(self.words) > self.remembered:
+            stay = np.sort(np.argsort(-self.uses, kind="stable")[: self.remembered // 2])
+            flat, ends = _gather(self.flat, self.ends, stay)
+            self._keep([self.words[i] for i in stay], flat, ends, self.uses[stay] / 2)
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column and the n + 1 offsets of its rows."""
@@ -72,17 +137,14 @@ class WordTokenizer:
         cut = pc.extract_regex(plain, _TAIL)
         core = pc.coalesce(pc.struct_field(cut, "core"), plain).dictionary_encode()
         tail = pc.coalesce(pc.struct_field(cut, "tail"), pa.scalar("", plain.type)).dictionary_encode()
-        words = core.dictionary.to_pylist() + tail.dictionary.to_pylist()
-        parts = self._encode(words)
-        table = np.frombuffer(b"".join(parts), "<u4")
-        ends = np.cumsum([0] + [len(x) // 4 for x in parts])
-        run = coded.indices.to_numpy()
-        pair = np.stack([core.indices.to_numpy(), tail.indices.to_numpy() + len(core.dictionary)], 1)
-        piece = pair[run].ravel()
-        length = (ends[1:] - ends[:-1])[piece]
-        total = np.concatenate([[0], np.cumsum(length)])
-        flat = table[np.repeat(ends[piece] - total[:-1], length) + np.arange(total[-1])]
-        return flat, total[2 * (bounds - bounds[0])]
+        words = pa.concat_arrays([core.dictionary, tail.dictionary]).dictionary_encode()
+        flat, ends, place = self._look_up(words.dictionary)
+        place = place[words.indices.to_numpy()]
+        many = len(core.dictionary)
+        pair = np.stack([place[core.indices.to_numpy()], place[many + tail.indices.to_numpy()]], 1).ravel()
+        flat, ends = _gather(flat, ends, pair)  # of distinct runs
+        flat, total = _gather(flat, ends[::2], coded.indices.to_numpy())
+        return flat, total[bounds - bounds[0]]
 
 
 @dataclass(frozen=True)
@@ -92,6 +154,7 @@ class Packing:
     linear: float = 1.0
     quadratic: float = 1 / 4096
     block_tokens: int = 1 << 20
+    slice_bytes: int = 8 << 20  # texts encoded at a time
 
 
 def assign(lengths: np.ndarray, bins: int, settings: Packing) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
@@ -225,8 +288,9 @@ def pack(
         block = _Block(settings, TaskContext.get().partitionId() << 33)
         for whole in batches:
             id_type = whole.column(0).type
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            rows = max(1, int(whole.num_rows * settings.slice_bytes / max(whole.nbytes, 1)))
+            for at in range(0, whole.num_rows, rows):
+                batch = whole.slice(at, rows)
                 ids, ends = words.ids(batch.column(1))
                 for row, doc in enumerate(batch.column(0).to_pylist()):
                     own = ids[ends[row] : ends[row + 1]]
