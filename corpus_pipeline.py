@@ -13,7 +13,7 @@ scored like any other and, if it stays, is packed as its end token.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.llm import jaccard, mixing, packing, pii, quality_fm
@@ -21,6 +21,7 @@ from rxlake.llm.queries import QUALITY_CUT, tokenizer_path
 from rxlake.sources.scratch import scratch_path, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+COPIES_AT_ONCE = 500
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,10 +64,30 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
-    taken = mixing.mix_sources(docs.select(*COLUMNS), keep=COLUMNS)
-    taken = taken.filter("copies > 0")
-    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    """Each document as often as the mix of sources takes it.
+
+    The mix sees sizes only. Rows are told by id and a hash of all columns; rows equal in these are the same
+    document, so one of them stands for the copies of all. Texts are shuffled once, to meet their copies.
+    """
+    docs = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64(*COLUMNS))
+    taken = mixing.mix_sources(docs.select("doc_id", "text", "source", "_hash"), keep=["doc_id", "_hash"])
+    taken = taken.groupBy(F.col("doc_id").alias("_id"), F.col("_hash").alias("_row"))
+    taken = stored(taken.agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")), "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row"))
+
+    def times(rows: DataFrame, many: Column) -> DataFrame:
+        return rows.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), many)))
+
+    once = taken.filter("_copies > 0 AND _rows = 1")
+    out = times(docs.join(once.hint("shuffle_hash"), same), F.col("_copies")).select(*COLUMNS)
+    several = taken.filter("_copies > 0 AND _rows > 1")
+    if several.isEmpty():
+        return out
+    # Copies of a row that many equal ones stand behind are made by many tasks, some hundred each.
+    first = docs.join(several, same).dropDuplicates(["_id", "_row"])
+    parts = times(first, F.ceil(F.col("_copies") / COPIES_AT_ONCE)).repartition("_id", "_row", "_time")
+    left = F.least(F.lit(COPIES_AT_ONCE), F.col("_copies") - (F.col("_time") - 1) * COPIES_AT_ONCE)
+    return out.unionByName(times(parts, left.cast("long")).select(*COLUMNS))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
