@@ -52,7 +52,7 @@ class WordTokenizer:
     a word end, where the ids are cut again; if the numbers of words and word ends differ, word by word.
     """
 
-    def __init__(self, path: str, remembered: int = 300_000, together: int = 100):
+    def __init__(self, path: str, remembered: int = 100_000, together: int = 100):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -154,7 +154,7 @@ class Packing:
     linear: float = 1.0
     quadratic: float = 1 / 4096
     block_tokens: int = 1 << 20
-    slice_bytes: int = 8 << 20  # texts encoded at a time
+    slice_bytes: int = 2 << 20  # texts encoded at a time
 
 
 def assign(lengths: np.ndarray, bins: int, settings: Packing) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
@@ -299,6 +299,7 @@ def pack(
                         block.flush(False)
                 if block.rows:
                     yield rows_of(block, id_type)
+            give_back()
         block.flush(True)
         if block.rows:
             yield rows_of(block, id_type)
