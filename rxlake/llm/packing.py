@@ -52,7 +52,7 @@ class WordTokenizer:
     a word end, where the ids are cut again; if the numbers of words and word ends differ, word by word.
     """
 
-    def __init__(self, path: str, remembered: int = 100_000, together: int = 100):
+    def __init__(self, path: str, remembered: int = 300_000, together: int = 100):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -60,11 +60,9 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.word_end = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._keep([], np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0))
-
-    def _keep(self, words: list[str], flat: np.ndarray, ends: np.ndarray, uses: np.ndarray) -> None:
-        self.words, self.flat, self.ends, self.uses = words, flat, ends, uses
-        self.place = {w: i for i, w in enumerate(words)}
+        # Remembered words as one array, as a Python dictionary of them takes many times the memory.
+        self.words = pa.array([], pa.large_string())
+        self.flat, self.ends, self.uses = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0)
 
     def _encode_each(self, words: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -103,16 +101,12 @@ class WordTokenizer:
     def _look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of remembered words with their ends, and the place of each of the given words."""
         self._forget()
-        texts = words.to_pylist()
-        known = self.place
-        place = np.array([known.get(w, -1) for w in texts], np.int64)
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
         new = np.flatnonzero(place < 0)
-        flat, ends = self._encode(words.take(pa.array(new)))
-        first = len(self.words)
-        place[new] = first + np.arange(len(new))
-        fresh = [texts[i] for i in new]
-        known.update(zip(fresh, range(first, first + len(fresh))))
-        self.words += fresh
+        fresh = words.take(pa.array(new))
+        flat, ends = self._encode(fresh)
+        place[new] = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, fresh])
         self.ends = np.concatenate([self.ends, len(self.flat) + ends[1:]])
         self.flat = np.concatenate([self.flat, flat])
         self.uses = np.concatenate([self.uses, np.zeros(len(new))])
@@ -123,8 +117,8 @@ class WordTokenizer:
         """Beyond the limit the half that was used in fewest batches goes, older uses counting less."""
         if len(self.words) > self.remembered:
             stay = np.sort(np.argsort(-self.uses, kind="stable")[: self.remembered // 2])
-            flat, ends = _gather(self.flat, self.ends, stay)
-            self._keep([self.words[i] for i in stay], flat, ends, self.uses[stay] / 2)
+            self.flat, self.ends = _gather(self.flat, self.ends, stay)
+            self.words, self.uses = self.words.take(pa.array(stay)), self.uses[stay] / 2
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column and the n + 1 offsets of its rows."""
