@@ -677,6 +677,18 @@ def oracle_sql() -> dict[str, str]:
             "SELECT DESYNPUF_ID, SP_STATE_CODE, MEDREIMB_IP, _source_year FROM raw_patients",
             "raw_patients",
         ),
+        "scan_vintages": """
+            WITH spending AS (
+                SELECT p_name, p_type, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS spent, count(*) AS claims,
+                       (length(p_name) + ascii(p_name)) % 3 + 2020 AS vintage
+                FROM part JOIN lineitem ON p_partkey = l_partkey GROUP BY p_name, p_type
+            )
+            SELECT p_name AS brand_name, CASE WHEN vintage <> 2021 THEN p_type END AS generic_name,
+                   CASE WHEN vintage <> 2022 THEN CAST(spent AS DOUBLE) END AS total_spending,
+                   CAST(claims AS BIGINT) AS total_claims,
+                   CASE WHEN vintage = 2022 THEN CAST(vintage AS VARCHAR) END AS year,
+                   CAST(vintage AS VARCHAR) AS _source_year
+            FROM spending""",
         "normalize_code": sql("SELECT k AS part_key, raw, ndc FROM part_codes", "part_codes"),
         "normalize_ndc_sql": sql("SELECT k AS part_key, raw, ndc FROM part_codes", "part_codes"),
         "normalize_rate": sql(

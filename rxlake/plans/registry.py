@@ -71,6 +71,26 @@ def _scanned_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("_source_file")
 
 
+def _scanned_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spending by drug as three yearly files whose columns differ, read as one set."""
+    path = scratch_path(spark, "files")
+    name = F.col("Brand Name")
+    year = F.pmod(F.length(name) + F.ascii(name), F.lit(3)) + 2020
+    spending = stored(raw.raw_partd(spark, sf_dir).withColumn("Year", year.cast("string")), "spending")
+    vintages = {
+        "2020": ["Brand Name", "Generic-Name", "Total Spending", "Total Claims"],
+        "2021": ["Total Claims", "Brand Name", "Total Spending"],
+        "2022": ["Generic-Name", "Brand Name", "Year", "Total Claims"],
+    }
+    for of, names in vintages.items():
+        rows = spending.filter(F.col("Year") == of).select(*names)
+        rows.write.csv(f"{path}/year={of}", header=True)
+    found = snake_case_columns(scan_with_provenance(spark, f"{path}/*", year_regex=r"year=(\d{4})"))
+    return found.withColumns(
+        {"total_spending": F.col("total_spending").cast("double"), "total_claims": F.col("total_claims").cast("long")}
+    ).drop("_source_file")
+
+
 def _training(i: Inputs) -> DataFrame:
     return adherence.adherence_training_set(i.utilization(), i.refill_stats())
 
@@ -234,6 +254,7 @@ def queries() -> dict[str, Query]:
         # sources, functions and silver
         "scan_delimited": _scanned,
         "scan_with_provenance": _scanned_by_year,
+        "scan_vintages": _scanned_vintages,
         "normalize_code": _codes,
         "normalize_ndc_sql": _codes_by_sql,
         "normalize_rate": q(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,23 +24,55 @@ def header_schema(spark: SparkSession, paths: str | list[str], sep: str = ",") -
     return StructType([StructField(n, StringType()) for n in names])
 
 
+def _first_lines(spark: SparkSession, paths: str | list[str], early: bool) -> tuple[dict[str, str], list[str]]:
+    """First lines by path, from one distributed job, and the paths of files without one.
+
+    ``early`` lets a task stop after the first batch of lines. Tasks have one file or part of a file then,
+    unless the session bounds their number; a file behind another one's lines may be missed in that case.
+    """
+    own = spark.newSession()  # one file or part of a file per task, for this job alone
+    own.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    lines = own.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
+    )
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            columns = (batch.column(i).to_pylist() for i in range(3))
+            found = {}
+            for line, path, start in zip(*columns):
+                if start == 0 and path not in seen:
+                    seen.add(path)
+                    found[path] = line
+            names = [pa.array(list(x), pa.string()) for x in (found.values(), found)]
+            yield pa.RecordBatch.from_arrays(names, ["line", "path"])
+            if early:
+                return
+
+    rows = lines.mapInArrow(first, "line string, path string").collect()
+    found = {unquote(r.path): r.line for r in rows}
+    return found, [p for p in map(unquote, lines.inputFiles()) if p not in found]
+
+
 def files_by_header(
     spark: SparkSession, paths: str | list[str], sep: str = ","
 ) -> list[tuple[StructType, list[str]]]:
-    """The files of a set, together where their header lines agree, in order of name.
+    """The files of a set, together where their header lines agree, in order of their first file.
 
-    Only file names and header lines are read here.
+    One job finds the header lines of any number of files (a second one looks at files without any), and
+    Spark parses each distinct line once. Files without a line are left out.
     """
-    listed = spark.read.format("binaryFile").load(paths).select("path").distinct()
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in sorted(listed.collect()):
-        names = spark.read.option("header", True).option("sep", sep).csv(row["path"]).columns
-        groups.setdefault(tuple(names), []).append(row["path"])
-    return [(_all_text(names), files) for names, files in groups.items()]
-
-
-def _all_text(names: tuple[str, ...]) -> StructType:
-    return StructType([StructField(n, StringType()) for n in names])
+    found, left = _first_lines(spark, paths, early=True)
+    if left:  # empty, or behind another file in its task
+        found |= _first_lines(spark, left, early=False)[0]
+    groups: dict[str, list[str]] = {}
+    for path, line in found.items():
+        groups.setdefault(line, []).append(path)
+    return [
+        (header_schema(spark, files[0], sep), sorted(files))
+        for files in sorted(groups.values(), key=min)
+    ]
 
 
 def scan_delimited(

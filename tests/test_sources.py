@@ -13,6 +13,7 @@ from rxlake.sources import (
     write_layer,
 )
 from rxlake.sources import schemas
+from rxlake.sources.files import files_by_header
 
 
 def write(folder, name, *lines):
@@ -109,3 +110,42 @@ def test_partitioned_layer_prunes(spark):
     assert got.count() == 5
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_vintages_of_many_files_take_as_many_jobs_as_few(spark, tmp_path):
+    headers = ["NDC,Price,Note", "Price,NDC", "NDC,Price,Year"]
+
+    def jobs(folder, files):
+        folder.mkdir()
+        for i in range(files):
+            head = headers[i % 3]
+            values = {"NDC": f"c{i}", "Price": str(i), "Note": "n", "Year": "2024"}
+            lines = [",".join(f"{values[c]}" for c in head.split(","))] * (1 + i % 2 * 30_000)
+            write(folder, f"vintage {i:02}+é.csv", head, *lines)
+        (folder / "empty.csv").write_text("")
+        spark.sparkContext.setJobGroup(str(folder), "headers")
+        found = files_by_header(spark, f"{folder}/*.csv")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert [len(paths) for _, paths in found] == [len(range(k, files, 3)) for k in range(3)]
+        assert [schema.names for schema, _ in found] == [h.split(",") for h in headers]
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(folder)))
+
+    # Spark lists more than 32 files in a job of its own, so both sets have more.
+    few, many = jobs(tmp_path / "few", 36), jobs(tmp_path / "many", 75)
+    assert many == few <= 8
+    rows = scan_delimited(spark, str(tmp_path / "many" / "*.csv"))
+    assert sorted(rows.columns) == ["NDC", "Note", "Price", "Year"]
+    got = rows.distinct().collect()
+    assert sorted((r.NDC, r.Price) for r in got) == sorted((f"c{i}", str(i)) for i in range(75))
+    assert {(r.Note, r.Year) for r in got} == {("n", None), (None, None), (None, "2024")}
+
+
+def test_headers_behind_other_files_in_a_task(spark, tmp_path):
+    for i in range(8):
+        write(tmp_path, f"v{i}.csv", f"A,B{i % 2}", *["1,2"] * 5)
+    spark.conf.set("spark.sql.files.maxPartitionNum", "1")
+    try:
+        found = files_by_header(spark, f"{tmp_path}/*.csv")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionNum")
+    assert [len(files) for _, files in found] == [4, 4]
