@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXACT = "decimal(28,10)"
+LARGEST = 1e18
 
 
 def _col(c: Column | str) -> Column:
@@ -47,13 +48,27 @@ def total(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
+def exact(c: Column | str) -> Column:
+    """An amount as decimal of ten places; one that has no room is an error, with ANSI mode or without."""
+    value = _col(c)
+    wrong = F.raise_error(F.concat(F.lit("amount too large for an exact sum: "), value.cast("string")))
+    return F.when(F.abs(value) < LARGEST, value.cast(EXACT)).when(value.isNotNull(), wrong.cast(EXACT))
+
+
+def exact_total(amounts: Column) -> Column:
+    """Sum of ``exact`` amounts, or of sums of them, as double; an overflow is an error in both modes."""
+    added = F.sum(amounts)
+    wrong = F.raise_error(F.lit("overflow in an exact sum")).cast("double")
+    return F.when(added.isNotNull() | (F.count(amounts) == 0), added.cast("double")).otherwise(wrong)
+
+
 def exact_sum(c: Column | str) -> Column:
     """Sum as double, the same whatever the partitioning.
 
     Values are added up as decimals of ten places, which holds amounts and prices as they are
-    read; only what a double's text would show beyond that is cut. Overflow raises an error.
+    read; only what a double's text would show beyond that is cut.
     """
-    return F.sum(_col(c).cast(EXACT)).cast("double")
+    return exact_total(exact(c))
 
 
 def exact_avg(c: Column | str) -> Column:

@@ -73,18 +73,22 @@ def ntile_of_rank(n: int) -> Column:
 
 
 def exact_quantile(
-    df: DataFrame, groups: list[str], value: str, q: float, slices: int = 1024, few: int = 10_000
+    df: DataFrame, groups: list[str], value: str, q: float, slices: int = 1024, few: int = 10_000,
+    count: str | None = None,
 ) -> DataFrame:
     """The value at place ceil(q * n) of each group's known values, with no task per group.
 
-    Values are counted first. Then the range that holds the place is cut into slices by value
+    ``count`` names a column with the number of times a row's value counts, so that values already
+    counted need not be read again. Values are counted first. Then the range that holds the place is cut into slices by value
     and narrowed to one of them, until few distinct values are left of every group. A round is
     one aggregation of at most ``slices`` rows per group, whatever the number of values.
     """
     keys = [f"_g{i}" for i in range(max(len(groups), 1))]
     named = [F.col(g).alias(k) for g, k in zip(groups, keys)] or [F.lit(0).alias(keys[0])]
-    counted = df.filter(F.col(value).isNotNull()).select(*named, F.col(value).alias("_v"))
-    counted = stored(counted.groupBy(*keys, "_v").agg(F.count("*").alias("_n")), "counted")
+    times = F.lit(1).cast("long") if count is None else F.col(count).cast("long")
+    counted = df.filter(F.col(value).isNotNull()).select(*named, F.col(value).alias("_v"), times.alias("_n"))
+    counted = counted.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n")).filter("_n > 0")
+    counted = stored(counted, "counted")
     total = F.sum("_n")
     place = F.greatest(F.lit(1), total - F.floor(total - q * total)).cast("long")
     upto = Window.partitionBy(*keys)

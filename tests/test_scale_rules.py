@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rxlake.functions.codes import normalize_code, register_sql_function
-from rxlake.functions.columns import exact_avg, exact_sum
+from rxlake.functions.columns import exact_avg, exact_sum, exact_total
 from rxlake.operators import analysis, gold, prices
 from rxlake.operators.keyed import exact_quantile
 from rxlake.plans import driver_tables
@@ -119,3 +119,66 @@ def test_vintages_with_other_headers(spark, tmp_path):
     assert set(scan_delimited(spark, f"{tmp_path}/y*.csv").columns) == {"A", "B", "C"}
     with pytest.raises(ValueError, match="columns not in"):
         scan_delimited(spark, f"{tmp_path}/y*.csv", schemas.text_schema("A D"))
+
+
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_large_prices_and_overflows_in_both_modes(spark, ansi):
+    rows = [("R", "1", 3e8), ("R", "2", 1e8), ("R", "2", 123456789.12345), ("A", "1", 0.00001), ("A", "1", None)]
+    df = spark.createDataFrame(rows, "pharmacy_type string, ndc string, nadac_per_unit double")
+    got = {r.pharmacy_type: r for r in analysis.price_by_pharmacy_type(df).collect()}
+    assert got["R"].avg_nadac_per_unit == round((3e8 + 1e8 + 123456789.12345) / 3, 4)
+    assert got["R"].median_nadac == 123456789.1235 and got["A"].price_observations == 1
+    large = spark.createDataFrame([(2e18,)], "x double")
+    with pytest.raises(PySparkException, match="too large for an exact sum"):
+        large.agg(exact_sum("x")).collect()
+    many = spark.range(3_000).select(F.lit(9e17).alias("x"))
+    assert many.agg(exact_sum("x")).first()[0] == pytest.approx(2.7e21)
+    billions = spark.range(200).select(F.lit("9" * 27 + "." + "9" * 10).cast("decimal(37,10)").alias("x"))
+    with pytest.raises(PySparkException, match="overflow in an exact sum|out of range|OUT_OF_RANGE|overflow"):
+        billions.agg(exact_total(F.col("x"))).collect()
+
+
+def test_quantile_of_counted_values(spark, partitions):
+    rng = random.Random(9)
+    pairs = [(rng.choice(["a", "b", None]), rng.choice([-5.5, 0.0, 1e9, *range(500)]) * 1.0, rng.randrange(0, 4)) for _ in range(3_000)]
+    expected = {}
+    for g in ("a", "b", None):
+        values = sorted(v for k, v, n in pairs if k == g for _ in range(n))
+        for q in (0.0, 0.5, 0.75):
+            expected[g, q] = values[max(0, -(-int(q * 100) * len(values) // 100) - 1)]
+
+    def run(n):
+        df = spark.createDataFrame(pairs, "g string, v double, n int").repartition(n)
+        return {
+            (r.g, q): r.v for q in (0.0, 0.5, 0.75)
+            for r in exact_quantile(df, ["g"], "v", q, slices=8, few=20, count="n").collect()
+        }
+
+    for result in partitions(run, (3, 40)):
+        assert result == expected
+
+
+def test_price_report_reads_prices_once(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(rng.choice("ARN"), str(rng.randrange(9)), rng.randrange(30_000) / 100) for _ in range(20_000)]
+    df = spark.createDataFrame(rows, "pharmacy_type string, ndc string, nadac_per_unit double").repartition(3)
+    df.write.parquet(str(tmp_path / "prices"))
+    read = tmp_path / "reads"
+    read.mkdir()
+
+    def noted(batches):
+        from uuid import uuid4
+
+        (read / uuid4().hex).write_text("")
+        yield from batches
+
+    prices_ = spark.read.parquet(str(tmp_path / "prices"))
+    analysis.price_by_pharmacy_type(prices_.coalesce(1).mapInArrow(noted, prices_.schema)).collect()
+    assert len(list(read.iterdir())) == 1
