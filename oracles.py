@@ -486,7 +486,7 @@ cte(
           lag(days_supply) OVER w AS prev_days_supply, row_number() OVER w AS fill_number
         FROM fills WHERE days_supply > 0
         WINDOW w AS (PARTITION BY beneficiary_id, ndc
-          ORDER BY service_date ASC NULLS FIRST, days_supply, substr(md5(pde_id), 1, 2), pde_id))
+          ORDER BY service_date ASC NULLS FIRST, days_supply, pde_id))
       WHERE fill_number > 1)""",
     "fills",
 )

@@ -1,15 +1,21 @@
 """Gaps between consecutive fills of one drug by one patient.
 
 Fills of a (patient, drug) pair are taken in order of service date (unknown dates first), days
-supply, a hash of the claim id, then the claim id. The hash decides which of the fills of one day and
-supply comes second; fills without a claim id are hashed by their amounts. A gap within ``grace`` times the previous fill's days supply is
-on time; a gap that cannot be computed is late.
+supply and claim id; fills equal in these, in order of their amounts. A gap within ``grace`` times the
+previous fill's days supply is on time; a gap that cannot be computed is late.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rxlake.sources.scratch import stored
 
@@ -20,62 +26,94 @@ def _usable(fills: DataFrame) -> DataFrame:
     return fills.filter(F.col("days_supply") > 0)
 
 
-def refill_sequences(fills: DataFrame, grace: float = 1.5) -> DataFrame:
-    """Every fill that has a predecessor, with the gap to it.
+def _equal(a: pa.ChunkedArray, b: pa.ChunkedArray) -> np.ndarray:
+    """Where two columns agree; NULL agrees with NULL."""
+    both_null = pc.and_(pc.is_null(a), pc.is_null(b))
+    return np.asarray(pc.or_(pc.fill_null(pc.equal(a, b), False), both_null))
+
 
-    One pair may own a large part of all fills, so its rows are never put in one window.
-    They are cut into buckets by date, supply and a hash of the claim id; a window over one
-    summary row per bucket finds what precedes each bucket, and a window inside the bucket
-    does the rest.
+def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add to the sorted rows of one partition what the row before has, and the number in the pair.
+
+    ``_open`` marks the rows of the partition's first pair, which may have begun in another one.
     """
-    # Non-null join keys, so that the bucket window and the join share one shuffle.
-    bucket = ["_patient", "_drug", "_day", "_supply", "_salt"]
-    rows = _usable(fills).withColumns(
-        {
-            "_patient": F.coalesce(F.concat(F.lit("="), "beneficiary_id"), F.lit("")),
-            "_drug": F.coalesce(F.concat(F.lit("="), "ndc"), F.lit("")),
-            "_day": F.coalesce(F.unix_date("service_date"), F.lit(-(1 << 31))),
-            "_supply": F.col("days_supply"),
-            "_salt": F.substring(
-                F.md5(F.coalesce("pde_id", F.concat_ws("|", "total_rx_cost", "quantity_dispensed", "patient_pay_amount"))),
-                1, 2,
-            ),
-        }
-    )
-    rows = stored(rows, "fills")  # read by the bucket summary and by the rows
-    pair = Window.partitionBy("_patient", "_drug").orderBy("_day", "_supply", "_salt")
-    buckets = (
-        rows.groupBy(*bucket)
-        .agg(F.count("*").alias("_n"), F.first("service_date").alias("_date"))
-        .select(
-            *bucket,
-            F.lag("_date").over(pair).alias("_date_before"),
-            F.lag("_supply").over(pair).alias("_supply_before"),
-            F.coalesce(
-                F.sum("_n").over(pair.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_n_before"),
+    chunk, before, position, is_open = TaskContext.get().partitionId(), None, 0, True
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        whole = pa.Table.from_batches([batch] if before is None else [before, batch]).combine_chunks()
+        linked = np.ones(n, bool)  # to the row before, or to an earlier partition
+        at = n - whole.num_rows + 1
+        linked[at:] = np.logical_and.reduce([_equal(whole[c].slice(1), whole[c].slice(0, whole.num_rows - 1)) for c in PAIR])
+        start = np.maximum.accumulate(np.where(linked, -1, np.arange(n)))
+        number = np.where(start < 0, np.arange(n) + 1 + position, np.arange(n) - start + 1)
+        known = linked.copy()
+        known[:at] = False
+
+        def shifted(name: str, whole: pa.Table = whole, known: np.ndarray = known, at: int = at, n: int = n) -> pa.Array:
+            column = whole[name].combine_chunks()
+            rows = pa.array(np.maximum(np.arange(n) - at, 0))
+            return pc.if_else(pa.array(known), column.take(rows), pa.scalar(None, column.type))
+
+        yield pa.RecordBatch.from_arrays(
+            [
+                *batch.columns, shifted("service_date"), shifted("days_supply"), pa.array(number),
+                pa.array((start < 0) & is_open), pa.array(np.full(n, chunk, np.int32)),
+            ],
+            [*batch.schema.names, "_date", "_supply", "_number", "_open", "_chunk"],
         )
+        is_open = is_open and bool((start < 0).all())
+        before, position = batch.slice(n - 1), int(number[-1])
+
+
+def _borders(linked: DataFrame) -> DataFrame:
+    """Per partition what its first pair had before it: number of fills, and last date and supply.
+
+    The first and the last row of each partition are all that is looked at. A pair may fill many
+    partitions; those before add their fills up.
+    """
+    of = [F.col(c) for c in PAIR]
+    ends = linked.groupBy("_chunk").agg(
+        F.min_by(F.struct(*of), F.when(F.col("_open"), F.col("_number"))).alias("first"),
+        F.max_by(F.struct(*of, "service_date", "days_supply", "_number"), "_place").alias("last"),
     )
-    inside = Window.partitionBy(*bucket).orderBy(
-        "pde_id", "total_rx_cost", "quantity_dispensed", "patient_pay_amount"
+    nothing = [F.lit(None).cast("date").alias("date"), F.lit(None).cast("int").alias("supply"), F.lit(0).cast("long").alias("fills")]
+    wants = ends.select("_chunk", F.lit(0).alias("gives"), *[F.col(f"first.{c}").alias(c) for c in PAIR], *nothing)
+    gives = ends.select(
+        "_chunk", F.lit(1).alias("gives"), *[F.col(f"last.{c}").alias(c) for c in PAIR],
+        F.col("last.service_date").alias("date"), F.col("last.days_supply").alias("supply"), F.col("last._number").alias("fills"),
     )
-    first = F.col("_row") == 1
-    placed = (
-        rows.withColumn("_row", F.row_number().over(inside))
-        .join(buckets, bucket, "inner")
-        .withColumns(
-            {
-                "prev_fill_date": F.when(first, F.col("_date_before")).otherwise(
-                    F.col("service_date")
-                ),
-                "prev_days_supply": F.when(first, F.col("_supply_before")).otherwise(
-                    F.col("days_supply")
-                ),
-                "fill_number": (F.col("_n_before") + F.col("_row")),
-            }
-        )
-        .filter(F.col("fill_number") > 1)
+    earlier = Window.partitionBy(*PAIR).orderBy("_chunk", "gives").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.max_by(F.struct("date", "supply"), F.when(F.col("gives") == 1, F.col("_chunk"))).over(earlier)
+    carried = wants.unionByName(gives).withColumns(
+        {"_before": F.coalesce(F.sum("fills").over(earlier), F.lit(0)), "_last": last}
     )
+    return carried.filter("gives = 0").select(F.col("_chunk").alias("_at"), "_before", "_last")
+
+
+def refill_sequences(fills: DataFrame, grace: float = 1.5) -> DataFrame:
+    """Every fill that has a predecessor, with the gap to it.
+
+    One range sort puts the fills in order, so a pair that owns a large part of all fills is spread
+    over many partitions. Each partition links its own rows, and one row per partition is carried
+    over the border to the next.
+    """
+    order = [*PAIR, "service_date", "days_supply", "pde_id", "total_rx_cost", "quantity_dispensed", "patient_pay_amount"]
+    rows = _usable(fills).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    rows = rows.withColumn("_place", F.monotonically_increasing_id())
+    shape = T.StructType([*rows.schema.fields]).add("_date", T.DateType()).add("_supply", T.IntegerType())
+    shape = shape.add("_number", T.LongType()).add("_open", T.BooleanType()).add("_chunk", T.IntegerType())
+    linked = stored(rows.mapInArrow(_link, shape), "linked")  # read for the borders and for the rows
+    placed = linked.join(F.broadcast(_borders(linked)), F.col("_chunk") == F.col("_at"))
+    crosses = F.col("_open") & (F.col("_number") == 1)
+    placed = placed.withColumns(
+        {
+            "prev_fill_date": F.when(crosses, F.col("_last.date")).otherwise(F.col("_date")),
+            "prev_days_supply": F.when(crosses, F.col("_last.supply")).otherwise(F.col("_supply")),
+            "fill_number": F.col("_number") + F.when(F.col("_open"), F.col("_before")).otherwise(0),
+        }
+    ).filter(F.col("fill_number") > 1)
     gap = F.datediff("service_date", "prev_fill_date")
     on_time = F.when(gap <= F.col("prev_days_supply") * grace, 1).otherwise(0)
     return placed.select(

@@ -1,10 +1,11 @@
-import hashlib
 import random
 from datetime import date, timedelta
 
 import pytest
 
+from rxlake.operators import refills
 from rxlake.operators.refills import mean_refill_rate, refill_sequences, refill_stats
+from rxlake.sources.scratch import stored
 
 SCHEMA = (
     "beneficiary_id string, pde_id string, service_date date, ndc string, days_supply int, "
@@ -28,8 +29,7 @@ def by_hand(rows, grace=1.5):
     for fills in groups.values():
         fills.sort(
             key=lambda r: (
-                r[2] is not None, r[2] or START, r[4], hashlib.md5(r[1].encode()).hexdigest()[:2],
-                r[1],
+                r[2] is not None, r[2] or START, r[4], r[1],
             )
         )
         for n, (before, now) in enumerate(zip(fills, fills[1:]), start=2):
@@ -124,3 +124,30 @@ def test_mean_rate(spark):
     rows = [fill("P", "a", 0, "A", 30), fill("P", "b", 10, "A", 30), fill("P", "c", 300, "A", 30)]
     row = mean_refill_rate(refill_stats(spark.createDataFrame(rows, SCHEMA))).first()
     assert row["patients"] == 1 and row["mean_refill_rate"] == 0.5
+
+
+def test_a_pair_over_many_partitions_with_one_shuffle(spark, monkeypatch):
+    rows = [fill("P0", f"c{i:04}", i // 3, "A", 30) for i in range(600)] + random_fills(6, 900)
+    rows += [fill(None, f"n{i:04}", None, None, 30) for i in range(200)]
+    seen = []
+
+    def kept(df, name):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(refills, "stored", kept)
+    for name, value in (("spark.sql.adaptive.coalescePartitions.enabled", "false"), ("spark.sql.shuffle.partitions", "12")):
+        spark.conf.set(name, value)
+    try:
+        df = refill_sequences(spark.createDataFrame(rows, SCHEMA))
+        got = {
+            r["pde_id"]: (r["prev_fill_date"], r["prev_days_supply"], r["fill_number"], r["days_between_fills"], r["refilled_on_time"])
+            for r in df.collect()
+        }
+        hot = df.filter("beneficiary_id = 'P0' AND ndc = 'A'").inputFiles()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == by_hand(rows)
+    assert len(seen) == 1 and seen[0].count("Exchange") == seen[0].count("rangepartitioning") == 1
+    assert len(hot) >= 6
