@@ -266,6 +266,10 @@ class Inputs:
     def fills(self) -> DataFrame:
         return self._typed(silver.build_fills, raw_fills)
 
+    def stored_fills(self) -> DataFrame:
+        """The fills, written once, for what reads them more than once."""
+        return stored(self.fills(), "typed-fills")
+
     def patients(self) -> DataFrame:
         return self._typed(silver.latest_patient, raw_patients)
 

@@ -21,7 +21,7 @@ from rxlake.sources import (
     write_layer,
 )
 from rxlake.sources import schemas
-from rxlake.sources.tables import BRONZE, GOLD, SILVER
+from rxlake.sources.tables import BRONZE, GOLD, SILVER, layer_tables
 
 
 @dataclass(frozen=True)
@@ -130,6 +130,4 @@ def build_gold(spark: SparkSession, high_cost_quantile: float = 0.9) -> None:
 
 def inventory(spark: SparkSession, layer: str) -> DataFrame:
     """Rows per table of a layer, from the written files."""
-    listed = spark.sql(f"SHOW TABLES IN `{layer}`").filter("NOT isTemporary").collect()
-    names = [r["tableName"] for r in listed]
-    return quality.table_inventory({n: read_layer(spark, layer, n) for n in names})
+    return quality.table_inventory({n: read_layer(spark, layer, n) for n in layer_tables(spark, layer)})

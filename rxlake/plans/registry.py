@@ -334,7 +334,7 @@ def queries() -> dict[str, Query]:
             lambda i: quality.key_coverage(_raw_of(raw.raw_prices, i), "NDC", i.dim_drug())
         ),
         # refills and prices
-        "refill_sequences": q(lambda i: refills.refill_sequences(i.fills())),
+        "refill_sequences": q(lambda i: refills.refill_sequences(i.stored_fills())),
         "refill_stats": q(Inputs.refill_stats),
         "mean_refill_rate": q(
             lambda i: _rounded(refills.mean_refill_rate(i.refill_stats()), "mean_refill_rate")

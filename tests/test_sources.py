@@ -14,6 +14,7 @@ from rxlake.sources import (
 )
 from rxlake.sources import schemas
 from rxlake.sources.files import files_by_header
+from rxlake.sources.tables import layer_tables
 
 
 def write(folder, name, *lines):
@@ -149,3 +150,37 @@ def test_headers_behind_other_files_in_a_task(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionNum")
     assert [len(files) for _, files in found] == [4, 4]
+
+
+def test_a_failing_write_leaves_the_old_rows(spark):
+    write_layer(spark.range(3), "atomic", "t")
+    before = read_layer(spark, "atomic", "t")
+    bad = spark.range(2_000).select(F.when(F.col("id") < 1_999, F.col("id")).otherwise(F.raise_error(F.lit("no"))).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_layer(bad, "atomic", "t")
+    assert read_layer(spark, "atomic", "t").count() == before.count() == 3
+    # From itself, with a new column.
+    write_layer(read_layer(spark, "atomic", "t").withColumn("y", F.col("id") + 1), "atomic", "t")
+    write_layer(read_layer(spark, "atomic", "t").filter("y > 1"), "atomic", "t")
+    assert sorted(map(tuple, read_layer(spark, "atomic", "t").collect())) == [(1, 2), (2, 3)]
+
+
+def test_versions_are_removed_and_hidden(spark):
+    for i in range(5):
+        write_layer(spark.range(i), "versions", "t")
+        write_layer(spark.range(10 + i), "versions", "t_other")
+    write_layer(spark.range(7).withColumn("k", F.col("id") % 2), "versions", "T2", ["k"])
+    assert sorted(layer_tables(spark, "versions")) == ["t", "t2", "t_other"]
+    assert spark.sql("SHOW TABLES IN versions").count() == 3 + 2 + 2 + 1
+    assert [read_layer(spark, "versions", n).count() for n in ("t", "t_other", "t2")] == [4, 14, 7]
+    assert read_layer(spark, "versions", "t2").filter("k = 1").count() == 3
+
+
+def test_a_plain_table_of_the_name_is_taken_over(spark):
+    create_layers(spark, "plain")
+    spark.range(4).write.saveAsTable("plain.t")
+    write_layer(read_layer(spark, "plain", "t").filter("id > 0"), "plain", "t")
+    assert read_layer(spark, "plain", "t").count() == 3
+    write_layer(spark.range(2), "plain", "t")
+    write_layer(spark.range(1), "plain", "t")
+    assert spark.sql("SHOW TABLES IN plain").count() == 3
