@@ -115,6 +115,51 @@ KINDS = [
     Kind("ssn", SSN, "-", _ssn_valid, 0.3, "ssn|social|security|taxpayer"),
 ]
 CONTEXT_CHARS = 40
+SCAN_BATCH = 256
+CHUNK_CHARS = 1024
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _scan(items: Column, start: dict[str, Column], step, none_yet: Column) -> Column:
+    """What ``step`` adds to the list ``out`` of its state, over all items in order.
+
+    A list is copied whenever something is added to it. Lists here end after ``SCAN_BATCH`` items and
+    are joined once, so the time grows with the items and not with their square.
+    """
+    batches = _let(
+        items,
+        lambda all_items: F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size(all_items), F.lit(1)), F.lit(SCAN_BATCH)),
+            lambda at: F.slice(all_items, at, F.lit(SCAN_BATCH)),
+        ),
+    )
+
+    def state(seen, out: Column) -> Column:
+        return F.struct(*[seen[name].alias(name) for name in start], out.alias("out"))
+
+    def batch(seen: Column, some: Column) -> Column:
+        ended = F.aggregate(some, state(seen, none_yet), step)
+        return _let(ended, lambda end: state(end, F.concat(seen["out"], F.array(end["out"]))))
+
+    first = state(start, F.slice(F.array(none_yet), 1, 0))
+    return F.aggregate(batches, first, batch, lambda seen: F.flatten(seen["out"]))
+
+
+def _chunks(text: Column) -> Column:
+    """The text in pieces of ``CHUNK_CHARS`` code points, the last one shorter."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK_CHARS}}}"), F.lit(0))
+
+
+def _cut(chunks: Column, begin: Column, end: Column) -> Column:
+    """Code points from ``begin`` up to ``end``, without a walk from the start of the text."""
+    first = F.floor(begin / CHUNK_CHARS).cast("int")
+    many = F.ceil(end / CHUNK_CHARS).cast("int") - first
+    near = F.array_join(F.slice(chunks, first + 1, F.greatest(many, F.lit(0))), "")
+    return F.substring(near, begin % CHUNK_CHARS + 1, end - begin)
 
 
 def _proposals(text: Column, kind: Kind) -> Column:
@@ -124,7 +169,7 @@ def _proposals(text: Column, kind: Kind) -> Column:
     running sums of both lengths are the matches' positions.
     """
     maybe = text.contains(kind.hint) if kind.hint else text.rlike(kind.pattern)
-    found = F.when(maybe, F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0 if kind.width is None else 1)))
+    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0 if kind.width is None else 1))
 
     def piece(gap: Column, hit: Column) -> Column:
         if kind.width is None:
@@ -137,28 +182,24 @@ def _proposals(text: Column, kind: Kind) -> Column:
             F.length(gap).alias("gap"), taken.alias("taken"), F.coalesce(width, F.lit(0)).alias("width"), valid.alias("valid")
         )
 
-    gaps = F.when(F.size(found) > 0, F.split(text, kind.pattern, -1))
-    marked = F.zip_with(
-        F.slice(gaps, F.lit(1), F.size(found)),
-        found,
-        piece,
-    )
-    none_yet = F.array().cast("array<struct<start:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), none_yet.alias("spans"))
-
     def step(seen: Column, piece: Column) -> Column:
         begin = seen["at"] + piece["gap"]
         end = begin + piece["width"]
         span = F.struct(begin.alias("start"), end.alias("end"))
-        last = F.coalesce(F.get(seen["spans"], F.size(seen["spans"]) - 1)["end"], F.lit(0))
+        kept = piece["valid"] & (begin >= seen["last"])
         return F.struct(
             (begin + piece["taken"]).alias("at"),
-            F.when(piece["valid"] & (begin >= last), F.concat(seen["spans"], F.array(span)))
-            .otherwise(seen["spans"])
-            .alias("spans"),
+            F.when(kept, end).otherwise(seen["last"]).alias("last"),
+            F.when(kept, F.concat(seen["out"], F.array(span))).otherwise(seen["out"]).alias("out"),
         )
 
-    return F.when(F.size(found) > 0, F.aggregate(marked, start, step, lambda seen: seen["spans"]))
+    def placed(hits: Column) -> Column:
+        gaps = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(hits))
+        none_yet = F.array().cast("array<struct<start:int,end:int>>")
+        spans = _scan(F.zip_with(gaps, hits, piece), {"at": F.lit(0), "last": F.lit(0)}, step, none_yet)
+        return F.when(F.size(hits) > 0, spans)
+
+    return F.when(maybe, _let(found, placed))
 
 
 def find_pii(
@@ -173,11 +214,14 @@ def find_pii(
     work = df.withColumn(body, F.coalesce(F.col(text), F.lit("")))
     names = [f"_pii_{k.name}" for k in KINDS]
     work = work.withColumns({n: _proposals(F.col(body), k) for n, k in zip(names, KINDS)})
+    chunks = "_pii_chunks"
+    any_found = F.coalesce(*[F.col(n) for n in names]).isNotNull()
+    work = work.withColumn(chunks, F.when(any_found, _chunks(F.col(body))))
 
     def scored(kind: Kind, number: int, spans: Column) -> Column:
         def rate(span: Column) -> Column:
             begin = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-            before = F.lower(F.substring(F.col(body), begin + 1, span["start"] - begin))
+            before = F.lower(_cut(F.col(chunks), begin, span["start"]))
             near = before.rlike(rf"\b(?:{kind.context})\b")
             return F.struct(
                 span["start"].alias("start"),
@@ -192,32 +236,35 @@ def find_pii(
         return F.coalesce(kept, F.array().cast(SPAN))
 
     every = F.concat(*[scored(k, i, F.col(n)) for i, (n, k) in enumerate(zip(names, KINDS))])
-    return work.withColumn(out, F.sort_array(every)).drop(body, *names)
+    return work.withColumn(out, F.sort_array(every)).drop(body, chunks, *names)
 
 
 def redact(df: DataFrame, text: str = "text", min_score: float = 0.6) -> DataFrame:
     """Replace every span by its kind in brackets; of overlapping spans the first names the gap."""
-    spans = "_pii_redact"
+    spans, chunks = "_pii_redact", "_pii_pieces"
     work = find_pii(df, text, spans, min_score)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
+    some = F.size(spans) > 0
+    work = work.withColumn(chunks, F.when(some, _chunks(F.col(text))))
 
     def step(seen: Column, span: Column) -> Column:
-        gap = F.greatest(span["start"] - seen["at"], F.lit(0))
-        label = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        joined = F.concat(seen["done"], F.substring(F.col(text), seen["at"] + 1, gap), label)
+        part = F.struct(seen["at"].alias("start"), span["start"].alias("end"), span["kind"].alias("kind"))
         return F.struct(
             F.greatest(span["end"], seen["at"]).alias("at"),
-            F.when(span["start"] < seen["at"], seen["done"]).otherwise(joined).alias("done"),
+            F.when(span["start"] < seen["at"], seen["out"])
+            .otherwise(F.concat(seen["out"], F.array(part)))
+            .alias("out"),
         )
 
-    def finish(seen: Column) -> Column:
-        rest = F.substring(F.col(text), seen["at"] + 1, F.length(text))
-        return F.concat(seen["done"], rest)
+    def labelled(part: Column) -> Column:
+        gap = _cut(F.col(chunks), part["start"], part["end"])
+        return F.concat(gap, F.lit("["), F.upper(part["kind"]), F.lit("]"))
 
-    clean = F.aggregate(F.col(spans), start, step, finish)
-    return work.withColumn(
-        text, F.when(F.size(spans) > 0, clean).otherwise(F.col(text))
-    ).drop(spans)
+    none_yet = F.array().cast("array<struct<start:int,end:int,kind:string>>")
+    parts = _scan(F.col(spans), {"at": F.lit(0)}, step, none_yet)
+    last_end = F.array_max(F.transform(spans, lambda s: s["end"]))
+    rest = _cut(F.col(chunks), last_end, F.length(text))
+    clean = F.array_join(F.concat(F.transform(parts, labelled), F.array(rest)), "")
+    return work.withColumn(text, F.when(some, clean).otherwise(F.col(text))).drop(spans, chunks)
 
 
 def digest(df: DataFrame, spans: str = "pii_spans") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +110,36 @@ def test_redaction_keeps_the_rest_and_clashing_columns_go(spark):
     assert pii.digest(pii.find_pii(df.limit(0))).count() == 0
 
 
+def test_spans_over_many_batches_equal_the_plain_patterns(spark):
+    rnd = random.Random(7)
+    bits = ["a@b.cd", "1.2.3.4", "1.2.3.400", "+1 (555) 123-4567", "4539 1488 0343 6467", "my ssn is 123-45-6789", "é😀 " * 300, "x\n"]
+    text = " , ".join(rnd.choice(bits) for _ in range(4 * pii.SCAN_BATCH))
+    df = docs(spark, [text, "a@b.cd", text[: pii.CHUNK_CHARS], None])
+    found = {r.doc_id: r for r in pii.find_pii(df).collect()}
+    digest = {r.doc_id: r.base_sha256 for r in pii.digest(pii.find_pii(df)).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    for i, t in enumerate([text, "a@b.cd", text[: pii.CHUNK_CHARS], None]):
+        assert digest[i] == hashlib.sha256(plain_spans(t).encode()).hexdigest()
+        at, want = 0, []
+        for s in found[i].pii_spans:
+            if s.start >= at:
+                want += [t[at : s.start], f"[{s.kind.upper()}]"]
+            at = max(at, s.end)
+        assert clean[i] == (None if t is None else "".join(want) + t[at:])
+    assert sum(s.kind == "ssn" for s in found[0].pii_spans) == text.count("123-45-6789")
+
+
+def test_a_hundred_thousand_spans_in_one_text(spark):
+    text = "login 10.0.0.1 ssn 123-45-6789 é " * 50_000
+    df = docs(spark, [text])
+    began = time.monotonic()
+    row = pii.digest(pii.find_pii(df)).first()
+    clean = pii.redact(df).first().text
+    assert row.n_ip == 50_000 and row.spans.count("ssn:") == 50_000
+    assert clean == "login [IP] ssn [SSN] é " * 50_000
+    assert time.monotonic() - began < 60
+
+
 # --- fingerprints ------------------------------------------------------------------------
 
 
