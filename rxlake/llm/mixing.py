@@ -97,7 +97,9 @@ def fly(chance: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nd
     """
     chance = chance.astype(float).copy()
     tiny = 1e-9
-    waiting = iter(np.flatnonzero((chance > tiny) & (chance < 1 - tiny)))
+    # Chances as good as settled are settled, so that none of them is left to the landing.
+    chance[chance <= tiny], chance[chance >= 1 - tiny] = 0.0, 1.0
+    waiting = iter(np.flatnonzero((chance > 0) & (chance < 1)))
     active: list[int] = []
     for item in waiting:
         active.append(int(item))
