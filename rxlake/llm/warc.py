@@ -37,6 +37,8 @@ from rxlake.sources.scratch import scratch_path, stored
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEK_TABLE_MAGIC = 0x8F92EAB1
 
+BUNDLES_PER_TASK = 8
+
 INDEX = "page_id long, bundle string, frame int, offset long, length long"
 RECORD = (
     "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
@@ -252,7 +254,11 @@ def _frame(file: pa.NativeFile, start: int, packed: int) -> bytes:
 
 
 def read_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
-    """All records of the bundles named by a column, frame by frame."""
+    """All records of the bundles named by a column, frame by frame.
+
+    The number of tasks follows the number of bundles: names are few bytes, and left to themselves
+    they would all be put into one task, whatever their archives hold.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,7 +273,9 @@ def read_bundles(bundles: DataFrame, column: str = "bundle") -> DataFrame:
                         yield _rows(out, _RECORD_TYPES)
 
     names = bundles.select(F.col(column).alias("bundle")).distinct()
-    return names.repartition("bundle").mapInArrow(run, RECORD)
+    many = names.count()
+    wanted = max(int(bundles.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-many // BUNDLES_PER_TASK))
+    return names.repartition(max(1, min(many, wanted))).mapInArrow(run, RECORD)
 
 
 def fetch(index: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rxlake.llm import jaccard, mixing, packing, quality_fm, toxicity, warc
@@ -187,6 +188,26 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.archive(spark, pages.limit(0), str(tmp_path / "none")).count() == 0
 
 
+def test_archives_are_read_by_as_many_tasks_as_there_are_bundles(spark, tmp_path):
+    pages = spark.range(400).selectExpr("id AS page_id", "'u' AS url", "repeat(md5(string(id)), 10) AS html")
+    index = warc.archive(spark, pages, str(tmp_path / "many"), warc.Bundling(frame_bytes=1000, bundle_bytes=2000))
+    bundles = index.select("bundle").distinct().count()
+    read = warc.read_bundles(index)
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-bundles // warc.BUNDLES_PER_TASK))
+    tasks = [r.n for r in read.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert bundles > 40 and len(tasks) == min(bundles, wanted)
+    assert sum(tasks) == 400
+    empty = warc.archive(spark, pages.limit(0), str(tmp_path / "empty"))
+    assert warc.read_bundles(empty).count() == 0
+
+
+def test_chances_next_to_one_are_settled_before_the_landing():
+    chance = np.array([1 - 2**-53] * 100 + [2**-60] * 100 + [0.5] * 4)
+    size = np.arange(1.0, 205)
+    end = mixing.land(mixing.fly(chance, size, np.random.default_rng(0)), size)
+    assert set(end) <= {0.0, 1.0} and end[:100].all() and not end[100:200].any()
+
+
 def test_a_damaged_payload_is_noticed():
     row = {"page_id": 1, "url": "u", "payload_bytes": 3, "payload_digest": "0" * 64, "record_type": "response", "refers_to": None, "payload": b"abc"}
     with pytest.raises(ValueError, match="digest"):
