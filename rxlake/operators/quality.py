@@ -6,22 +6,52 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DecimalType,
+    FractionalType,
+    IntegralType,
+    StructField,
+    TimestampType,
+)
 
 from rxlake.functions.codes import normalize_code
 
 
-def _as_text(df: DataFrame, name: str) -> Column:
-    c = F.col(f"`{name}`")
-    kind = dict(df.dtypes)[name]
-    if kind in ("float", "double"):
-        c = c + F.lit(0.0)  # -0.0 and 0.0 are one value
-    return c.cast("string").alias(name)
+def _slots(df: DataFrame) -> list[tuple[str, list[Column]]]:
+    """Per slot type, what each column puts there: NULL wherever its own type goes elsewhere.
 
+    Whole numbers, dates and times are held as long, fractions as double, the rest as text, so that
+    distinct values stay as small in a shuffle as they are in their column.
+    """
 
-def _long(df: DataFrame) -> DataFrame:
-    """(column_name, value) rows of all columns, values as text."""
-    text = df.select(*[_as_text(df, c) for c in df.columns])
-    return text.unpivot([], df.columns, "column_name", "value")
+    def place(field: StructField) -> tuple[str, Column]:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (IntegralType, BooleanType)):
+            return "long", c.cast("long")
+        if isinstance(field.dataType, DateType):
+            return "long", F.unix_date(c).cast("long")
+        if isinstance(field.dataType, TimestampType):
+            return "long", F.unix_micros(c)
+        if isinstance(field.dataType, FractionalType) and not isinstance(field.dataType, DecimalType):
+            return "double", c.cast("double")
+        return "string", c.cast("string")
+
+    placed = [place(f) for f in df.schema.fields]
+    used = [kind for kind in ("long", "double", "string") if any(k == kind for k, _ in placed)]
+    return [(kind, [c if k == kind else F.lit(None).cast(kind) for k, c in placed]) for kind in used]
+
+
+def _cells(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """A row per cell, (column_no, one value per slot), and the names of the slots."""
+    slots = _slots(df)
+    names = [f"as_{kind}" for kind, _ in slots]
+    cells = [
+        part for no in range(len(df.columns)) for part in (F.lit(no), *[c[no] for _, c in slots])
+    ]
+    rows = df.select(F.stack(F.lit(len(df.columns)), *cells).alias("column_no", *names))
+    return rows, names
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -45,20 +75,22 @@ def null_rates(df: DataFrame, limit_pct: float = 20.0) -> DataFrame:
 def quality_report(df: DataFrame, limit_pct: float = 50.0) -> DataFrame:
     """Rows, share of NULL and distinct values per column; NULL counts as one value.
 
-    One job for any number of columns. Repeated values of a column, NULL included, are
-    merged before the shuffle.
+    One pass for any number of columns. Repeated values of a column, NULL included, are merged
+    with their number before the shuffle, so rows and NULLs come from the same groups.
     """
-    nulls = F.count_if(F.col("value").isNull())
+    cells, slots = _cells(df)
+    values = cells.groupBy("column_no", *slots).agg(F.count("*").alias("n"))
+    empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in slots])
+    nulls = F.coalesce(F.sum(F.when(empty, F.col("n"))), F.lit(0))
+    name = F.get(F.array(*[F.lit(c) for c in df.columns]), F.col("column_no"))
     return (
-        _long(df)
-        .groupBy("column_name")
+        values.groupBy("column_no")
         .agg(
-            F.count("*").alias("total_rows"),
-            _pct(nulls, F.count("*")).alias("null_pct"),
-            (F.count_distinct("value") + F.when(nulls > 0, 1).otherwise(0)).alias(
-                "distinct_values"
-            ),
+            F.sum("n").alias("total_rows"),
+            _pct(nulls, F.sum("n")).alias("null_pct"),
+            F.count("*").alias("distinct_values"),
         )
+        .select(name.alias("column_name"), "total_rows", "null_pct", "distinct_values")
         .withColumn("flag", (F.col("null_pct") > limit_pct).cast("int"))
     )
 

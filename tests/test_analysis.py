@@ -189,6 +189,24 @@ def test_quality_report(spark, by_key):
     assert nulls["s"]["flag"] == 1 and nulls["x"]["null_pct"] == 25.0 and nulls["x"]["flag"] == 1
 
 
+def test_quality_report_keeps_types_apart(spark, by_key):
+    df = spark.sql("""
+        SELECT * FROM VALUES
+            (DATE'2020-01-01', TIMESTAMP'2020-01-01 00:00:00', 1.10BD, true, 'NaN', double('NaN'), NULL, array(1)),
+            (DATE'2020-01-02', TIMESTAMP'2020-01-01 00:00:00.000001', 1.1BD, false, 'nan', double('NaN'), NULL, array(1)),
+            (DATE'2020-01-02', NULL, 1.11BD, NULL, 'NaN', double('Infinity'), NULL, NULL)
+        AS t(d, t, m, b, s, x, n, `an array`)
+    """)
+    rows = by_key(quality.quality_report(df.repartition(3)), "column_name")
+    assert {k: r["distinct_values"] for k, r in rows.items()} == {
+        "d": 2, "t": 3, "m": 2, "b": 3, "s": 2, "x": 2, "n": 1, "an array": 2,
+    }
+    assert rows["n"]["null_pct"] == 100.0 and rows["n"]["flag"] == 1
+    assert quality.quality_report(df.limit(0)).count() == 0
+    whole = by_key(quality.quality_report(df.select("d")), "column_name")
+    assert (whole["d"]["total_rows"], whole["d"]["distinct_values"]) == (3, 2)
+
+
 def test_key_checks(spark):
     df = spark.createDataFrame([("1-1-1",), ("00001000101",), ("x",), ("x",), (None,)], "c string")
     dim = spark.createDataFrame([("00001000101",)], "ndc string")
