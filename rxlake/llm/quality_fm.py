@@ -5,8 +5,9 @@ taken in linear time as half the difference between squared sums and sums of squ
 factor. Inputs are hashed words (length-normalised log counts), structure statistics of the text and
 its size; never a label, language, source or identifier.
 
-The model is fitted on at most ``max_rows`` labelled rows, picked by a hash of their ids, in one task
-whose memory that bound limits. Scoring covers every row of a table in Arrow batches.
+The model is fitted on at most ``max_rows`` labelled rows of together at most ``max_bytes`` of text,
+picked by a hash of their ids, in one task whose memory these bounds limit. Scoring covers every row of
+a table in Arrow batches.
 
 Defined results: a NULL or empty text is scored on the constant term and its zero statistics; rows
 without a label or an id are not used for fitting; without any labelled row every score is 0.5;
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlake.llm.words import Chunk, chunks, give_back
@@ -43,6 +44,7 @@ class Settings:
     rate: float = 0.08
     decay: float = 1e-5
     max_rows: int = 12_000
+    max_bytes: int = 1 << 27
     seed: int = 17
 
 
@@ -220,8 +222,12 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, target: str, max_rows: int) -> DataFrame:
-    """At most ``max_rows`` labelled texts outside the held-out fifth, as (doc_id, text, label)."""
+def training_rows(docs: DataFrame, labels: DataFrame, target: str, max_rows: int, max_bytes: int) -> DataFrame:
+    """At most ``max_rows`` labelled texts outside the held-out fifth, as (doc_id, text, label).
+
+    Rows of one id give one row, with the least of their texts. Together the texts have at most
+    ``max_bytes`` bytes, taken in order of a hash of the ids; one of more than an eighth of that is not used.
+    """
     known = (
         labels.select("doc_id", F.col(target).cast("int").alias("label"))
         .filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -230,8 +236,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, max_rows: int
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
     # Never more rows than the bound, so this side is safe to broadcast.
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = (
+        docs.select("doc_id", "text")
+        .filter(size <= max_bytes // 8)
+        .join(F.broadcast(known), "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))
+    )
+    so_far = F.sum(size).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    bounded = rows.withColumn("_bytes", so_far).filter(F.col("_bytes") <= max_bytes)
+    return bounded.select("doc_id", "text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), target: str = "quality") -> Model:
@@ -250,7 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), tar
         give_back()
 
     schema = pa.schema([("doc_id", pa.string()), ("text", pa.large_string()), ("label", pa.int32())])
-    rows = training_rows(docs, labels, target, settings.max_rows)
+    rows = training_rows(docs, labels, target, settings.max_rows, settings.max_bytes)
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
 
     found = rows.repartition(1).mapInArrow(train, "model binary").collect()

@@ -8,12 +8,12 @@ Labels only tell toxic from not. Severity of the toxic training rows is graded b
 entries in them, those far more frequent in toxic rows than in others: the grades 1 to 3 are thirds
 of these rows by the sum of log counts. Grade 0 is not toxic.
 
-Model and vocabulary are fitted on at most ``max_rows`` labelled rows, in one task whose memory that
-bound limits. Scoring covers every row of a table in Arrow batches.
+Model and vocabulary are fitted on at most ``max_rows`` labelled rows of together at most ``max_bytes``
+of text, in one task whose memory these bounds limit. Scoring covers every row of a table in Arrow batches.
 
 Defined results: a NULL or empty text has no words and gets the severity that the thresholds alone
 give. Without labelled rows every severity is 0. Rows without a label or an id are not used for
-fitting. Repeated rows get equal results; an empty table gives no rows.
+fitting, and of rows with one id only the least text is. Repeated rows get equal results; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from rxlake.llm.words import LETTERS, chunks
 @dataclass(frozen=True)
 class Settings:
     max_rows: int = 12_000
+    max_bytes: int = 1 << 27
     vocabulary: int = 4_000
     least_lift: float = 1.0  # natural log of its odds in toxic rows over those in others
     least_telling: float = 4.5  # standard errors that its frequency in toxic rows is off
@@ -171,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
             columns = [m.words.tobytes(), m.weights.astype("<f8").tobytes(), m.thresholds.astype("<f8").tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], ["w", "v", "t"])
 
-    rows = training_rows(docs, labels, "toxic", settings.max_rows)
+    rows = training_rows(docs, labels, "toxic", settings.max_rows, settings.max_bytes)
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
     found = rows.repartition(1).mapInArrow(train, "w binary, v binary, t binary").collect()
     if not found:

@@ -77,7 +77,26 @@ def test_quality_without_labels(spark):
 
 def test_the_sample_is_bounded(spark):
     df, labels = labelled(spark, 60)
-    assert quality_fm.training_rows(df, labels, "quality", 10).count() == 10
+    assert quality_fm.training_rows(df, labels, "quality", 10, 1 << 20).count() == 10
+
+
+def test_the_sample_is_bounded_for_repeated_ids_and_long_texts(spark):
+    df, labels = labelled(spark, 60)
+    plain = quality_fm.training_rows(df, labels, "quality", 100, 1 << 20).collect()
+    copies = df.crossJoin(spark.range(40)).selectExpr("doc_id", "IF(id = 7, text, concat('~', text)) AS text")
+    once = quality_fm.training_rows(copies, labels, "quality", 100, 1 << 20).collect()
+    assert sorted(once) == sorted(plain)
+
+    sizes = [len(r.text.encode()) for r in plain]
+    few = quality_fm.training_rows(df, labels, "quality", 100, 8 * max(sizes)).collect()
+    assert 0 < len(few) < len(plain)
+    assert sum(len(r.text.encode()) for r in few) <= 8 * max(sizes)
+
+    long = df.selectExpr("doc_id", "IF(doc_id % 2 = 0, repeat('x', 200000), text) AS text")
+    rest = quality_fm.training_rows(long, labels, "quality", 100, 1 << 20).collect()
+    assert {r.doc_id for r in rest} == {r.doc_id for r in plain if r.doc_id % 2}
+    nulls = df.selectExpr("doc_id", "CAST(NULL AS STRING) AS text")
+    assert quality_fm.training_rows(nulls, labels, "quality", 100, 1 << 20).count() == len(plain)
 
 
 def test_severity_follows_the_number_of_marks(spark):
