@@ -538,6 +538,88 @@ cte(
     "anomaly_features",
     "dim_drug",
 )
+# The isolation forest: 100 trees of 256 rows, grown and walked level by level. The root of a tree is
+# node 1, the children of node k are 2 k and 2 k + 1.
+cte(
+    "iso_values",
+    """SELECT ndc, i, CAST(CAST(v AS FLOAT) AS DOUBLE) AS v FROM (
+      SELECT ndc, unnest([0, 1, 2, 3, 4]) AS i, unnest([mean_price, price_stddev,
+        coefficient_of_variation, range_to_mean_ratio, latest_deviation]) AS v FROM anomaly_features
+      WHERE mean_price + price_stddev + coefficient_of_variation + range_to_mean_ratio
+        + latest_deviation IS NOT NULL)""",
+    "anomaly_features",
+)
+cte(
+    "iso_size",
+    """SELECT n, least(n, 256) AS m, ceil(log2(greatest(least(n, 256), 2))) AS levels
+    FROM (SELECT count(DISTINCT ndc) AS n FROM iso_values)""",
+    "iso_values",
+)
+cte(
+    "iso_0",
+    """SELECT tree, ndc, 1 AS node, row_number() OVER (PARTITION BY tree
+        ORDER BY (slope * number + start) % 2147483647, ndc) <= 256 AS drawn
+    FROM (SELECT DISTINCT ndc, ('0x' || substr(md5('42:' || ndc), 1, 12))::BIGINT % 2147483647 AS number
+      FROM iso_values),
+      (SELECT range AS tree, 1 + ('0x' || substr(md5('42:' || range), 1, 8))::BIGINT % 2147483646 AS slope,
+        ('0x' || substr(md5('42:' || range), 9, 8))::BIGINT % 2147483647 AS start FROM range(100))""",
+    "iso_values",
+)
+for level in range(8):
+    cte(
+        f"iso_splits_{level}",
+        f"""SELECT tree, node, i, low + (('0x' || substr(digest, 1, 6))::BIGINT + 0.5::DOUBLE) / 16777216
+            * (high - low) AS split
+        FROM (SELECT *, md5('42:' || tree || ':' || node) AS digest, count(*) OVER w AS varied,
+            row_number() OVER (w ORDER BY i) - 1 AS place
+          FROM (SELECT tree, node, i, min(v) AS low, max(v) AS high
+            FROM iso_{level} JOIN iso_values USING (ndc) WHERE drawn
+            GROUP BY tree, node, i HAVING min(v) < max(v)) WINDOW w AS (PARTITION BY tree, node))
+        WHERE place = ('0x' || substr(digest, 7, 6))::BIGINT % varied
+          AND {level} < (SELECT levels FROM iso_size)""",
+        f"iso_{level}",
+        "iso_values",
+        "iso_size",
+    )
+    cte(
+        f"iso_{level + 1}",
+        f"""SELECT r.tree, r.ndc, r.drawn,
+          CASE WHEN s.i IS NULL THEN r.node WHEN v.v > s.split THEN 2 * r.node + 1 ELSE 2 * r.node END AS node
+        FROM iso_{level} r LEFT JOIN iso_splits_{level} s ON r.tree = s.tree AND r.node = s.node
+          LEFT JOIN iso_values v ON v.ndc = r.ndc AND v.i = s.i""",
+        f"iso_{level}",
+        f"iso_splits_{level}",
+    )
+cte(
+    "iso_paths",
+    """SELECT ndc, CAST(sum(path) AS DOUBLE) AS path FROM iso_8 JOIN (
+      SELECT tree, node, CAST(round((length(bin(node)) - 1 + CASE WHEN k = 1 THEN 0 WHEN k = 2 THEN 1
+          ELSE 2 * (ln(k - 1) + 0.57721566490153286::DOUBLE) - 2 * (k - 1)::DOUBLE / k END) * 1e9) AS BIGINT) AS path
+      FROM (SELECT tree, node, count(*) AS k FROM iso_8 WHERE drawn GROUP BY tree, node)) USING (tree, node)
+    GROUP BY ndc""",
+    "iso_8",
+)
+cte(
+    "iso_scores",
+    """SELECT *, row_number() OVER (ORDER BY path, ndc) AS r FROM (
+      SELECT ndc, path, n, -pow(2.0::DOUBLE, -(path / 1e9 / 100) / CASE WHEN m > 2
+        THEN 2 * (ln(m - 1) + 0.57721566490153286::DOUBLE) - 2 * (m - 1)::DOUBLE / m ELSE 1 END) AS score
+      FROM iso_paths, iso_size)""",
+    "iso_paths",
+    "iso_size",
+)
+cte(
+    "forest",
+    """SELECT a.*, raw AS anomaly_raw_score, CASE WHEN raw < 0 THEN 1 ELSE 0 END AS is_anomaly,
+      CASE WHEN raw < 0 THEN -1 ELSE 1 END AS anomaly_score
+    FROM (SELECT ndc, score - (lo + (hi - lo) * (place - floor(place))) AS raw FROM iso_scores,
+        (SELECT max(score) FILTER (r = floor(place) + 1) AS lo,
+          max(score) FILTER (r = least(floor(place) + 2, n)) AS hi, any_value(place) AS place
+        FROM (SELECT *, 0.05::DOUBLE * (n - 1) AS place FROM iso_scores)))
+      JOIN anomaly_features a USING (ndc)""",
+    "iso_scores",
+    "anomaly_features",
+)
 FEATURES = [
     "chronic_condition_count", "cc_diabetes", "cc_heart_failure", "cc_copd", "cc_depression",
     "cc_cancer", "unique_drugs", "total_rx_fills", "total_rx_spend", "total_patient_pay",
@@ -1007,6 +1089,24 @@ def oracle_sql() -> dict[str, str]:
             FROM anomaly_features WHERE price_stddev IS NOT NULL""",
             "anomaly_features",
         ),
+        "isolation_forest": sql(
+            f"""SELECT * REPLACE ({rnd("price_stddev", 6)} AS price_stddev,
+              {rnd("coefficient_of_variation", 6)} AS coefficient_of_variation,
+              {rnd("latest_z_score", 6)} AS latest_z_score, {day("latest_date")} AS latest_date,
+              {rnd("anomaly_raw_score", 6)} AS anomaly_raw_score)
+            FROM forest""",
+            "forest",
+        ),
+        "top_anomalies": sql(
+            f"""SELECT f.ndc, substr(coalesce(generic_name, brand_name, 'Unknown'), 1, 33) AS drug_name,
+              mean_price, latest_price, latest_deviation,
+              {rnd("coefficient_of_variation", 6)} AS coefficient_of_variation,
+              {rnd("anomaly_raw_score", 6)} AS anomaly_raw_score
+            FROM (SELECT * FROM forest WHERE is_anomaly = 1 ORDER BY anomaly_raw_score, ndc LIMIT 20) f
+              LEFT JOIN dim_drug d ON f.ndc = d.ndc""",
+            "forest",
+            "dim_drug",
+        ),
         "anomaly_share": sql(
             f"""SELECT CAST(k AS BIGINT) AS anomalies, {rnd("k / n * 100", 1)} AS pct
             FROM (SELECT n, CASE WHEN 0.05 * (n - 1) > floor(0.05 * (n - 1))

@@ -1,166 +1,186 @@
-"""Isolation forest (Liu, Ting and Zhou, 2008) as Spark jobs.
+"""Isolation forest (Liu, Ting and Zhou, 2008) as Spark jobs of built-in functions.
 
-Each tree draws its own sample of at most ``sample_size`` rows, trees are grown in parallel,
-one task group per tree, and all rows are scored against the grown trees. A forest is bounded
-by trees and sample size, whatever the number of rows.
+Each tree draws its own sample of at most ``sample_size`` rows. All trees grow together, one level
+after the other, and all rows are scored against the grown trees. A forest is bounded by trees and
+sample size, whatever the number of rows.
+
+Every choice follows from MD5 digests of seed, tree, node and key, so a forest can be grown again by
+any engine. Features count in single precision. Splits are uniform between the extremes of a node's
+rows, so scaling a feature changes nothing and none is scaled.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlake.operators.keyed import with_global_rank
 from rxlake.sources.scratch import stored
 
-NODE_SCHEMA = (
-    "tree int, node int, feature int, split double, left int, right int, path double, size int"
-)
+_PRIME = 2**31 - 1
+_UNITS = 10**9  # path lengths are added up as whole numbers, in any order alike
+
+
+def _digest(*parts: Column) -> Column:
+    return F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]).cast("binary"))
+
+
+def _number(digest: Column, start: int, digits: int) -> Column:
+    """Some hexadecimal digits of a digest as a whole number."""
+    return F.conv(F.substring(digest, start, digits), 16, 10).cast("long")
+
+
+def _mean_path(n: Column) -> Column:
+    """The mean depth at which n rows would be told apart."""
+    n = n.cast("double")
+    long = 2.0 * (F.log(n - 1.0) + float(np.euler_gamma)) - 2.0 * (n - 1.0) / n
+    return F.when(n <= 1, 0.0).when(n == 2, 1.0).otherwise(long)
+
+
+def deepest(sample_size: int) -> int:
+    return math.ceil(math.log2(max(sample_size, 2)))
+
+
+def with_values(df: DataFrame, features: list[str], out: str) -> DataFrame:
+    """The features in single precision as one array column."""
+    return df.withColumn(out, F.array(*[F.col(f).cast("float").cast("double") for f in features]))
 
 
 def tree_samples(
     df: DataFrame, n: int, trees: int, sample_size: int, seed: int, key: str, values: str
 ) -> DataFrame:
-    """(tree, values) rows: per tree the ``sample_size`` rows with the smallest hashes.
+    """(tree, values) rows: per tree the ``sample_size`` rows with the smallest places, ties by key.
 
-    A row meets each tree only as a hash comparison. The bar is set so that each tree gets a
-    few more rows than it needs, and only those rows are exploded and ranked.
+    A tree's place of a row is a line through the row's number, modulo a prime, with a slope and an
+    offset of its own. The bar is set so that each tree gets a few more rows than it needs, and only
+    those rows are exploded and ranked.
     """
     want = min(sample_size, n)
     share = min(1.0, (want + 8 * math.sqrt(want) + 16) / n)
+    lines = []
+    for tree in range(trees):
+        digits = hashlib.md5(f"{seed}:{tree}".encode()).hexdigest()
+        slope, offset = 1 + int(digits[:8], 16) % (_PRIME - 1), int(digits[8:16], 16) % _PRIME
+        lines.append(
+            F.struct(
+                F.lit(tree).alias("tree"),
+                F.lit(slope).cast("long").alias("slope"),
+                F.lit(offset).cast("long").alias("offset"),
+            )
+        )
+    number = _number(_digest(F.lit(seed), F.col(key)), 1, 12) % _PRIME
+    numbered = df.select(key, values, number.alias("_number"))
 
-    def tree_hash(tree):
-        return F.xxhash64(F.lit(seed), tree, F.col(key))
+    def place(line: Column) -> Column:
+        return (line["slope"] * F.col("_number") + line["offset"]) % _PRIME
 
     def below(share: float) -> DataFrame:
-        # Signed 64-bit hashes: the lowest share of the range.
-        bar = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
-        hits = F.filter(
-            F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: tree_hash(t) <= F.lit(bar)
-        )
-        return df.select(key, values, F.explode(hits).alias("tree")).withColumn(
-            "_hash", tree_hash(F.col("tree"))
-        )
+        bar = math.ceil(share * _PRIME)
+        hits = F.filter(F.array(*lines), lambda line: place(line) < bar)
+        found = numbered.select(key, values, "_number", F.explode(hits).alias("_line"))
+        return found.select(key, values, F.col("_line.tree").alias("tree"), place(F.col("_line")).alias("_place"))
 
     # The bar moves up until every tree has enough rows.
     drawn = stored(below(share), "drawn")
     while share < 1 and drawn.groupBy("tree").count().filter(F.col("count") >= want).count() < trees:
         share = min(1.0, 2 * share)
         drawn = stored(below(share), "drawn")
-    w = Window.partitionBy("tree").orderBy("_hash", key)
+    w = Window.partitionBy("tree").orderBy("_place", key, values)
     return (
         drawn.withColumn("_order", F.row_number().over(w))
         .filter(F.col("_order") <= want)
-        .select("tree", "_order", values)
+        .select("tree", values)
     )
 
 
-def grow_trees(samples: DataFrame, sample_size: int, seed: int, values: str) -> DataFrame:
-    """Node rows of all trees, each grown from its own sample."""
-    max_depth = math.ceil(math.log2(max(sample_size, 2)))
-
-    def grow(rows: pd.DataFrame) -> pd.DataFrame:
-        # Nested, so that workers need nothing but numpy and pandas.
-        import numpy as np
-
-        def mean_path(m: int) -> float:
-            if m <= 1:
-                return 0.0
-            if m == 2:
-                return 1.0
-            return 2.0 * (np.log(m - 1.0) + np.euler_gamma) - 2.0 * (m - 1.0) / m
-
-        rows = rows.sort_values("_order")
-        tree = int(rows["tree"].iloc[0])
-        data = np.vstack(rows[values].to_numpy())
-        rng = np.random.default_rng([seed, tree])
-        nodes: list[list] = []
-        pending = [(data, 0, -1, 4)]
-        while pending:
-            points, depth, parent, side = pending.pop()
-            node = len(nodes)
-            if parent >= 0:
-                nodes[parent][side] = node
-            low, high = points.min(axis=0), points.max(axis=0)
-            free = np.flatnonzero(high > low)
-            if depth >= max_depth or len(points) <= 1 or len(free) == 0:
-                nodes.append(
-                    [tree, node, -1, 0.0, -1, -1, depth + mean_path(len(points)), len(points)]
-                )
-                continue
-            feature = int(rng.choice(free))
-            split = float(rng.uniform(low[feature], high[feature]))
-            nodes.append([tree, node, feature, split, -1, -1, 0.0, len(points)])
-            goes_left = points[:, feature] <= split
-            pending.append((points[~goes_left], depth + 1, node, 5))
-            pending.append((points[goes_left], depth + 1, node, 4))
-        names = ["tree", "node", "feature", "split", "left", "right", "path", "size"]
-        return pd.DataFrame(nodes, columns=names)
-
-    return samples.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
-
-
-def score_rows(df: DataFrame, nodes: pd.DataFrame, sample_size: int, values: str) -> DataFrame:
-    """Add ``_score``: minus the anomaly score, so lower is more anomalous."""
-    import numpy as np
-
-    nodes = nodes.sort_values(["tree", "node"])
-    counts = nodes.groupby("tree").size().to_numpy()
-    roots = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    shift = np.repeat(roots, counts)
-    leaf = nodes["feature"].to_numpy() < 0
-    own = np.arange(len(nodes))
-    # One flat forest: children as positions, leaves pointing at themselves.
-    forest = {
-        "roots": roots,
-        "feature": np.where(leaf, 0, nodes["feature"].to_numpy()),
-        "split": nodes["split"].to_numpy(),
-        "left": np.where(leaf, own, nodes["left"].to_numpy() + shift),
-        "right": np.where(leaf, own, nodes["right"].to_numpy() + shift),
-        "path": nodes["path"].to_numpy(),
-        "norm": 2.0 * (math.log(sample_size - 1.0) + float(np.euler_gamma))
-        - 2.0 * (sample_size - 1.0) / sample_size
-        if sample_size > 2
-        else 1.0,
-        "depth": math.ceil(math.log2(max(sample_size, 2))),
-    }
-    shared = df.sparkSession.sparkContext.broadcast(forest)
-
-    @F.pandas_udf("double")
-    def anomaly(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import numpy as np
-
-        f = shared.value
-        for batch in batches:
-            if len(batch) == 0:
-                yield pd.Series([], dtype="float64")
-                continue
-            points = np.vstack(batch.to_numpy())
-            rows = np.arange(len(points))
-            total = np.zeros(len(points))
-            for root in f["roots"]:
-                at = np.full(len(points), root)
-                for _ in range(f["depth"]):
-                    go_left = points[rows, f["feature"][at]] <= f["split"][at]
-                    at = np.where(go_left, f["left"][at], f["right"][at])
-                total += f["path"][at]
-            yield pd.Series(-np.power(2.0, -total / len(f["roots"]) / f["norm"]))
-
-    return df.withColumn("_score", anomaly(values))
-
-
-def standardized(df: DataFrame, features: list[str], out: str) -> DataFrame:
-    """Standardized features as one array column."""
-    assembled = VectorAssembler(inputCols=features, outputCol="_vector").transform(df)
-    scaler = StandardScaler(inputCol="_vector", outputCol="_scaled", withMean=True, withStd=True)
-    scaled = scaler.fit(assembled).transform(assembled)
-    return scaled.withColumn(out, vector_to_array("_scaled")).drop("_vector", "_scaled")
+def grow_trees(samples: DataFrame, sample_size: int, seed: int, values: str, features: int) -> DataFrame:
+    """One row per node: (tree, node, size, feature, split, path).
+
+    The root is node 1, the children of node k are 2 k (up to the split) and 2 k + 1. A leaf has
+    feature -1 and the path length of the rows that end there, in units of 1e-9. Rows stay with their
+    tree from level to level, so all levels together take one shuffle.
+    """
+    levels = deepest(sample_size)
+    node = Window.partitionBy("tree", "node")
+
+    def of(column: str, i: Column | int) -> Column:
+        return F.get(F.col(column), F.lit(i) if isinstance(i, int) else i)
+
+    entry = "array<struct<node: int, size: int, feature: int, split: double, path: bigint>>"
+    rows = samples.select("tree", F.lit(1).alias("node"), values, F.array().cast(entry).alias("_way"))
+    rows = rows.withColumn("_done", F.lit(False))
+    for depth in range(levels + 1):
+        rows = rows.withColumns(
+            {
+                "_size": F.count("*").over(node).cast("int"),
+                "_low": F.array(*[F.min(of(values, i)).over(node) for i in range(features)]),
+                "_high": F.array(*[F.max(of(values, i)).over(node) for i in range(features)]),
+                "_digest": _digest(F.lit(seed), F.col("tree"), F.col("node")),
+            }
+        )
+        varied = F.filter(
+            F.sequence(F.lit(0), F.lit(features - 1)), lambda i: of("_low", i) < of("_high", i)
+        )
+        rows = rows.withColumn("_varied", varied if depth < levels else F.array().cast("array<int>"))
+        which = _number(F.col("_digest"), 7, 6) % F.greatest(F.size("_varied"), F.lit(1))
+        rows = rows.withColumn("_feature", F.coalesce(of("_varied", which.cast("int")), F.lit(-1)))
+        # 24 bits and a half: strictly between two single-precision numbers, so no child is empty.
+        share = (_number(F.col("_digest"), 1, 6) + 0.5) / float(1 << 24)
+        low, high = of("_low", F.col("_feature")), of("_high", F.col("_feature"))
+        rows = rows.withColumn("_split", F.coalesce(low + share * (high - low), F.lit(0.0)))
+        leaf = F.col("_feature") < 0
+        path = F.round((depth + _mean_path(F.col("_size"))) * float(_UNITS)).cast("long")
+        here = F.struct(
+            F.col("node").alias("node"),
+            F.col("_size").alias("size"),
+            F.col("_feature").alias("feature"),
+            F.col("_split").alias("split"),
+            F.when(leaf, path).otherwise(0).alias("path"),
+        )
+        right = (of(values, F.col("_feature")) > F.col("_split")).cast("int")
+        rows = rows.select(
+            "tree",
+            F.when(leaf, F.col("node")).otherwise(2 * F.col("node") + right).alias("node"),
+            values,
+            F.when(F.col("_done"), F.col("_way")).otherwise(F.concat("_way", F.array(here))).alias("_way"),
+            (F.col("_done") | leaf).alias("_done"),
+        )
+    nodes = rows.select("tree", F.explode("_way").alias("_at")).select("tree", "_at.*")
+    return nodes.dropDuplicates(["tree", "node"])
+
+
+def score_rows(
+    df: DataFrame, nodes: DataFrame, trees: int, sample_size: int, values: str, row: str
+) -> DataFrame:
+    """Add ``_path``, the sum of a row's path lengths, and ``_score``: minus the anomaly score, so
+    lower is more anomalous. ``row`` names a column that tells rows apart.
+
+    Every row goes down all trees, a level per join with the node table. That table is broadcast: it
+    has fewer than 2 * trees * sample_size rows.
+    """
+    levels = deepest(sample_size)
+    slots = 2 << levels
+    at = (F.col("tree") * slots + F.col("node")).cast("long")
+    table = F.broadcast(nodes.select(at.alias("_at"), "feature", "split", "path"))
+    first = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: (t * slots + 1).cast("long"))
+    walk = df.select(row, values, F.explode(first).alias("_at"))
+    for _ in range(levels):
+        right = (F.get(F.col(values), F.col("feature")) > F.col("split")).cast("long")
+        root = F.shiftleft(F.shiftright("_at", levels + 1), levels + 1)
+        child = 2 * F.col("_at") - root + right
+        step = F.when(F.col("feature") < 0, F.col("_at")).otherwise(child)
+        walk = walk.join(table, "_at").select(row, values, step.alias("_at"))
+    paths = walk.join(table, "_at").groupBy(row).agg(F.sum("path").alias("_path"))
+    mean = F.col("_path") / float(_UNITS) / float(trees)
+    norm = 1.0
+    if sample_size > 2:
+        norm = 2.0 * (math.log(sample_size - 1.0) + float(np.euler_gamma))
+        norm -= 2.0 * (sample_size - 1.0) / sample_size
+    return df.join(paths, row).withColumn("_score", -F.pow(F.lit(2.0), -mean / norm))
 
 
 def isolation_forest(
@@ -174,22 +194,22 @@ def isolation_forest(
 ) -> DataFrame:
     """Rows with ``anomaly_score`` (-1 or 1), ``anomaly_raw_score`` and ``is_anomaly``.
 
-    Rows with a missing feature are left out. The raw score is the distance to the score of
+    Rows with a missing feature are left out; rows with equal features get equal scores. The raw score is the distance to the score of
     the ``contamination`` quantile (interpolated); below zero is an anomaly.
     """
-    values = "_values"
-    # One row per drug, read by every step below: stored once.
-    ready = standardized(stored(df.na.drop(subset=features), "drugs"), features, values)
+    values, row = "_values", "_row"
+    # One row per drug, read by every step below: stored once, so its numbers stay.
+    ready = with_values(df.na.drop(subset=features), features, values)
+    ready = stored(ready.withColumn(row, F.monotonically_increasing_id()), "drugs")
     n = ready.count()
     if n == 0:
         raise ValueError("no complete rows to score")
     size = min(sample_size, n)
     samples = tree_samples(ready, n, trees, sample_size, seed, key, values)
-    # Model parameters: at most trees * (2 * sample_size - 1) rows.
-    nodes = grow_trees(samples, size, seed, values).toPandas()
+    nodes = stored(grow_trees(samples, size, seed, values, len(features)), "nodes")
     # Sorting reads its input twice, scoring should not.
-    scored = stored(score_rows(ready, nodes, size, values).drop(values), "scored")
-    ranked = with_global_rank(scored, [F.col("_score"), F.col(key)])
+    scored = stored(score_rows(ready, nodes, trees, size, values, row).drop(values, row), "scored")
+    ranked = with_global_rank(scored, [F.col("_path"), F.col(key)])
     place = contamination * (n - 1)
     lower = math.floor(place)
     around = {
@@ -205,7 +225,7 @@ def isolation_forest(
         ranked.withColumn("anomaly_raw_score", raw)
         .withColumn("is_anomaly", (raw < 0).cast("int"))
         .withColumn("anomaly_score", F.when(raw < 0, -1).otherwise(1))
-        .drop("_score", "_rank", "_total")
+        .drop("_path", "_score", "_rank", "_total")
     )
 
 

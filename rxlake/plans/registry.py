@@ -385,8 +385,16 @@ def queries() -> dict[str, Query]:
         "lr_tier_checks": q(_tier_checks),
         "importance_sum": q(_importance_sum),
         "isolation_checks": q(_forest_checks),
-        "isolation_forest": q(_forest),
-        "top_anomalies": q(lambda i: isolation.top_anomalies(_forest(i), i.dim_drug())),
+        "isolation_forest": q(
+            lambda i: _rounded(
+                _forest(i), "price_stddev", "coefficient_of_variation", "latest_z_score", "anomaly_raw_score"
+            )
+        ),
+        "top_anomalies": q(
+            lambda i: _rounded(
+                isolation.top_anomalies(_forest(i), i.dim_drug()), "coefficient_of_variation", "anomaly_raw_score"
+            )
+        ),
         "anomaly_share": q(lambda i: isolation.anomaly_share(_forest(i))),
         "anomaly_profile": q(_profile),
     }

@@ -1,9 +1,12 @@
+import hashlib
 import math
 import random
 
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from rxlake.models import adherence, isolation, metrics
 from rxlake.operators import prices
 
@@ -149,30 +152,82 @@ def test_isolation_forest(points, partitions):
     assert all((s < 0) == bool(f) == (label == -1) for s, f, label in got.values())
 
 
-def test_forest_scores_against_plain_walks(points):
+def plain_forest(rows, trees, sample_size, seed):
+    """Mean path of every (key, values) row in a forest grown node by node."""
+
+    def digest(*parts):
+        return hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()
+
+    def expected(m):
+        return 0.0 if m <= 1 else 1.0 if m == 2 else 2 * (math.log(m - 1) + np.euler_gamma) - 2 * (m - 1) / m
+
+    prime, limit = 2**31 - 1, math.ceil(math.log2(max(min(sample_size, len(rows)), 2)))
+    paths = {key: 0.0 for key, _ in rows}
+    for tree in range(trees):
+        d = digest(seed, tree)
+        slope, offset = 1 + int(d[:8], 16) % (prime - 1), int(d[8:16], 16) % prime
+
+        def place(row):
+            return ((slope * (int(digest(seed, row[0])[:12], 16) % prime) + offset) % prime, row[0])
+
+        def descend(sample, everyone, node, depth):
+            varied = [i for i in range(len(rows[0][1])) if len({v[i] for _, v in sample}) > 1]
+            if depth == limit or not varied:
+                for key, _ in everyone:
+                    paths[key] += depth + expected(len(sample))
+                return
+            d = digest(seed, tree, node)
+            feature = varied[int(d[6:12], 16) % len(varied)]
+            low, high = min(v[feature] for _, v in sample), max(v[feature] for _, v in sample)
+            split = low + (int(d[:6], 16) + 0.5) / 2**24 * (high - low)
+            for side in (0, 1):
+                parts = [[r for r in x if (r[1][feature] > split) == side] for x in (sample, everyone)]
+                descend(*parts, 2 * node + side, depth + 1)
+
+        descend(sorted(rows, key=place)[:sample_size], rows, 1, 0)
+    return {key: total / trees for key, total in paths.items()}
+
+
+def test_forest_scores_against_a_plain_forest(points):
     values = "_values"
-    ready = isolation.standardized(points.na.drop(), ["a", "b"], values)
+    ready = isolation.with_values(points.na.drop(), ["a", "b"], values)
+    rows = [(r["ndc"], tuple(r[values])) for r in ready.collect()]
     samples = isolation.tree_samples(ready, 600, 10, 64, 5, "ndc", values)
     sizes = {r["tree"]: r["count"] for r in samples.groupBy("tree").count().collect()}
     assert sizes == {t: 64 for t in range(10)}
-    nodes = isolation.grow_trees(samples, 64, 5, values).toPandas()
-    assert nodes.groupby("tree").size().max() <= 127
-    tables = {t: g.set_index("node") for t, g in nodes.groupby("tree")}
-
-    def path(x, table):
-        at = 0
-        while table.at[at, "feature"] >= 0:
-            side = "left" if x[table.at[at, "feature"]] <= table.at[at, "split"] else "right"
-            at = table.at[at, side]
-        return table.at[at, "path"]
+    nodes = isolation.grow_trees(samples, 64, 5, values, 2).cache()
+    per_tree = nodes.groupBy("tree").count().collect()
+    assert len(per_tree) == 10 and max(r["count"] for r in per_tree) <= 127
+    assert {r["n"] for r in nodes.filter("feature < 0").groupBy("tree").agg(F.sum("size").alias("n")).collect()} == {64}
 
+    want = plain_forest(rows, 10, 64, 5)
     norm = 2 * (math.log(63) + np.euler_gamma) - 2 * 63 / 64
-    scored = isolation.score_rows(ready, nodes, 64, values).limit(25).collect()
+    scored = isolation.score_rows(ready, nodes, 10, 64, values, "ndc").collect()
+    assert len(scored) == 600
     for r in scored:
-        mean = np.mean([path(r[values], t) for t in tables.values()])
-        assert r["_score"] == pytest.approx(-(2 ** (-mean / norm)))
-    leaves = nodes[nodes.feature < 0]
-    assert leaves.groupby("tree")["size"].sum().eq(64).all()
+        assert r["_path"] / 1e9 / 10 == pytest.approx(want[r["ndc"]])
+        assert r["_score"] == pytest.approx(-(2 ** (-want[r["ndc"]] / norm)))
+
+
+def test_forest_of_equal_rows_and_of_repeated_keys(spark):
+    df = spark.createDataFrame([("a", 1.0, 2.0)] * 3 + [("b", 1.0, 2.0)], "ndc string, x double, y double")
+    rows = isolation.isolation_forest(df, ["x", "y"], trees=5).collect()
+    assert len(rows) == 4 and {(r["anomaly_raw_score"], r["is_anomaly"]) for r in rows} == {(0.0, 0)}
+    one = isolation.isolation_forest(df.limit(1), ["x", "y"], trees=5).collect()
+    assert [r["is_anomaly"] for r in one] == [0]
+    with pytest.raises(ValueError, match="no complete rows"):
+        isolation.isolation_forest(df.limit(0), ["x", "y"])
+
+
+def test_forest_needs_no_python_on_executors(points):
+    values = "_values"
+    ready = isolation.with_values(points.na.drop(), ["a", "b"], values)
+    samples = isolation.tree_samples(ready, 600, 5, 64, 5, "ndc", values)
+    nodes = isolation.grow_trees(samples, 64, 5, values, 2)
+    grown = nodes._jdf.queryExecution().toString()
+    walked = isolation.score_rows(ready, nodes, 5, 64, values, "ndc")._jdf.queryExecution().toString()
+    for plan in (grown, walked):
+        assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
 
 
 def test_small_forest(spark):
