@@ -123,52 +123,80 @@ def fingerprints(df: DataFrame, text: str = "text", settings: Winnowing = Winnow
     return df.select(*keep).mapInArrow(run, schema)
 
 
+def _bounds(found: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending (id, hash) bounds from quantiles of ids: one found r times is cut into r shares of hashes."""
+    ids, times = np.unique(np.array(found, np.int64), return_counts=True)
+    hashes = [-(1 << 63) + j * (1 << 64) // r for r in times.tolist() for j in range(r)]
+    return np.repeat(ids, times), np.array(hashes, np.int64)
+
+
+def _slices(bounds: tuple[np.ndarray, np.ndarray], ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """How many bounds each (id, hash) has reached."""
+    low, high = (np.searchsorted(bounds[0], ids, side) for side in ("left", "right"))
+    for start in np.unique(low[high > low]):
+        rows = np.flatnonzero((low == start) & (high > low))
+        shares = bounds[1][start : high[rows[0]]]
+        low[rows] = start + np.searchsorted(shares, hashes[rows], "right")
+    return low.astype(np.int32)
+
+
 def _in_order(df: DataFrame, spread: int) -> DataFrame:
-    """Rows in slices of ascending ids, each followed by the first row of the next slice.
+    """Rows in slices of ascending ids and hashes of texts, each followed by the first row of the next slice.
 
-    Only slice bounds and first ids, ``spread`` at most of each, pass through the driver. A slice's
-    guest is the row after its last one; the last slice's guest is the first row of all.
+    Only slice bounds and first rows' ids and hashes, ``spread`` at most of each, pass through the driver.
+    A slice's guest is the row after its last one; the last slice's guest is the first row of all. Each
+    slice is a partition of its own.
     """
-    ids = df.select("doc_id").filter("doc_id IS NOT NULL")
+    # NULL ids count as the least one.
+    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    df = df.select("doc_id", key.alias("id"), F.xxhash64("text").alias("hash"), "text")
     shares = [i / spread for i in range(1, spread)]
-    found = ids.agg(F.percentile_approx("doc_id", shares, 10_000).alias("b")).first()["b"] if shares else None
-    bounds = np.unique(np.array(found or [], np.int64))
-
-    def slices(keys: np.ndarray) -> np.ndarray:
-        return np.searchsorted(bounds, keys, "right").astype(np.int64)
-
-    def keys_of(column: pa.Array) -> np.ndarray:  # NULL first
-        return column.fill_null(-(1 << 63)).to_numpy()
+    found = df.agg(F.percentile_approx("id", shares, 10_000).alias("b")).first()["b"] if shares else None
+    bounds = _bounds(found or [])
 
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least: dict[int, int] = {}
+        least: dict[int, tuple[int, int]] = {}
         for batch in batches:
-            keys = keys_of(batch.column(0))
-            for s in np.unique(at := slices(keys)):
-                least[int(s)] = min(least.get(int(s), 1 << 63), int(keys[at == s].min()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(least), pa.int64()), pa.array(list(least.values()), pa.int64())], ["slice", "first"]
-        )
-
-    rows = df.select("doc_id").mapInArrow(firsts, "slice long, first long")
-    heads = sorted(rows.groupBy("slice").agg(F.min("first").alias("first")).collect())
-    guest_of = {first: heads[i - 1]["slice"] for i, (_, first) in enumerate(heads)}  # of slice before
+            ids, hashes = (batch.column(i).to_numpy() for i in (0, 1))
+            order = np.lexsort((hashes, ids))
+            ids, hashes = ids[order], hashes[order]
+            for s, at in zip(*np.unique(_slices(bounds, ids, hashes), return_index=True)):
+                here = (int(ids[at]), int(hashes[at]))
+                least[int(s)] = min(least.get(int(s), here), here)
+        columns = [list(least), [x for x, _ in least.values()], [x for _, x in least.values()]]
+        types = [pa.int32(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["slice", "id", "hash"])
+
+    rows = df.select("id", "hash").mapInArrow(firsts, "slice int, id long, hash long")
+    first = F.min(F.struct("id", "hash")).alias("first")
+    heads = sorted((r["slice"], tuple(r["first"])) for r in rows.groupBy("slice").agg(first).collect())
+    guest_of = {first: heads[i - 1][0] for i, (_, first) in enumerate(heads)}  # of slice before
+    names = ["slice", "guest", "id", "hash", "doc_id", "text"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opening = np.array([x for x, _ in guest_of], np.int64)
+        sent: set[tuple[int, int]] = set()  # equal rows of a task are one guest
         for batch in batches:
-            keys = keys_of(batch.column(0))
-            own = pa.array(slices(keys))
-            none = pa.array(np.zeros(len(keys), bool))
-            yield pa.RecordBatch.from_arrays([own, none, *batch.columns], ["slice", "guest", "doc_id", "text"])
-            also = [i for i, k in enumerate(keys.tolist()) if k in guest_of]
+            doc, ids, hashes, text = batch.columns
+            of, parity = ids.to_numpy(), hashes.to_numpy()
+            own = pa.array(_slices(bounds, of, parity))
+            none = pa.array(np.zeros(len(of), bool))
+            yield pa.RecordBatch.from_arrays([own, none, ids, hashes, doc, text], names)
+            also = []
+            for i in np.flatnonzero(np.isin(of, opening)).tolist():
+                here = (int(of[i]), int(parity[i]))
+                if here in guest_of and here not in sent:
+                    sent.add(here)
+                    also.append(i)
             if also:
-                more = batch.take(pa.array(also))
-                to = pa.array([guest_of[int(keys[i])] for i in also], pa.int64())
+                doc, ids, hashes, text = batch.take(pa.array(also)).columns
+                to = pa.array([guest_of[int(of[i]), int(parity[i])] for i in also], pa.int32())
                 yes = pa.array([True] * len(also))
-                yield pa.RecordBatch.from_arrays([to, yes, *more.columns], ["slice", "guest", "doc_id", "text"])
+                yield pa.RecordBatch.from_arrays([to, yes, ids, hashes, doc, text], names)
 
-    placed = df.select("doc_id", "text").mapInArrow(place, "slice long, guest boolean, doc_id long, text string")
-    return placed.repartition(spread, "slice").sortWithinPartitions("slice", "guest", "doc_id", "text")
+    placed = df.mapInArrow(place, "slice int, guest boolean, id long, hash long, doc_id long, text string")
+    placed = placed.repartitionById(spread, "slice").sortWithinPartitions("slice", "guest", "id", "hash", "text")
+    return placed.select("slice", "guest", "doc_id", "text")
 
 
 def compare_neighbours(
@@ -177,7 +205,7 @@ def compare_neighbours(
     """Fingerprint each text and its edited form, and compare both and the next text's.
 
     The edited text has its last quarter replaced by as many first code points of the next document
-    in ascending id order, NULL ids first, equal ids by text; after the last comes the first.
+    in ascending id order, NULL ids first, equal ids by a hash of their text; after the last comes the first.
     """
     spread = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

@@ -8,6 +8,7 @@ import time
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rxlake.llm import pii, quality_rules, span_dedup, winnowing, words
 
@@ -195,6 +196,34 @@ def test_neighbours_of_odd_ids(spark):
     assert winnowing.compare_neighbours(spark.createDataFrame(same, schema)).count() == 5
 
 
+def test_rows_of_one_id_fall_in_many_slices(spark):
+    rows = [(7 if i % 4 else i, f"text {i} " + "z" * (i % 50)) for i in range(4000)] + [(7, "same")] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    placed = winnowing._in_order(df, 16).withColumn("task", F.spark_partition_id())
+    per_task = [r["n"] for r in placed.groupBy("task").agg(F.count("*").alias("n")).collect()]
+    assert len(per_task) == 16 and max(per_task) < 3 * len(rows) / 16  # two shares may meet
+    assert sum(per_task) <= len(rows) + 3 * 16
+
+
+def test_equal_ids_follow_one_another_by_hash(spark, partitions):
+    rnd = random.Random(8)
+    rows = [(rnd.choice([None, 7, 7, 9, i]), "".join(rnd.choice("abcd ") for _ in range(rnd.randint(0, 90)))) for i in range(60)]
+    rows += [(7, "the same text")] * 5 + [(9, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = df.withColumn("h", F.xxhash64("text")).collect()
+    order = sorted(hashed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
+    want = []
+    for r, after in zip(order, order[1:] + order[:1]):
+        text, following = r.text or "", after.text or ""
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + following[:cut]
+        near = winnowing.likeness(winnowing.winnow(text)[0], winnowing.winnow(following)[0])
+        want.append((str(r.doc_id), len(text), hashlib.sha256(edited.encode()).hexdigest(), near))
+
+    for found in partitions(lambda n: winnowing.compare_neighbours(df.repartition(n)).collect()):
+        assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256, r.near_next) for r in found) == sorted(want)
+
+
 def test_fingerprint_columns(spark):
     df = docs(spark, ["x" * 100, None]).selectExpr("*", "'old' AS fp_hashes")
     rows = winnowing.fingerprints(df).orderBy("doc_id").collect()
