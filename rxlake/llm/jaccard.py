@@ -56,7 +56,9 @@ class Join:
     frequent: int = 1 << 17  # n-grams put last in the order, at most
     count_block: int = 2_000_000  # n-grams counted at a time
     count_least: int = 8
-    filter_bits: int = 1 << 24
+    filter_bits: int = 1 << 24  # of the filter of candidates, at least
+    most_filter_bits: int = 1 << 28  # a fuller filter lets more texts by, but none less
+    together: int = 64  # partners of one set that a task compares it with
     more: int = 24  # a linked pair shares one more prefix n-gram for as many n-grams of its sets
     heads: int = 2
     head_share: float = 0.3  # of the prefix that is worth comparing a set with a list's head
@@ -332,9 +334,14 @@ def _bit_filter(ids: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _bodies(docs: DataFrame, ids: DataFrame, join: Join) -> DataFrame:
-    """One compressed text for each set of ``ids`` (and for some others, which the filter lets by)."""
-    wanted = _bit_filter(ids, join.filter_bits)
+def _filter_size(ids: int, join: Join) -> int:
+    """Bits for so many ids: a power of two, eight for each id within the limits."""
+    return min(max(join.filter_bits, 1 << (8 * ids - 1).bit_length()), join.most_filter_bits)
+
+
+def _bodies(docs: DataFrame, ids: DataFrame, most: int, join: Join) -> DataFrame:
+    """One compressed text for each of the sets ``ids``, ``most`` at most (and for some others, which the filter lets by)."""
+    wanted = _bit_filter(ids, _filter_size(most, join))
     names, types = ["set_id", "body"], [pa.int64(), pa.binary()]
     bits = np.uint64(len(wanted) * 64)
 
@@ -362,14 +369,21 @@ def _bodies(docs: DataFrame, ids: DataFrame, join: Join) -> DataFrame:
     return stored(found.dropDuplicates(["set_id"]), "bodies")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, join: Join, tasks: int, salts: int = 8) -> DataFrame:
+def _salted(pairs: DataFrame, join: Join) -> DataFrame:
+    """Pairs (a, b) with a salt: a set with many partners has a salt for every ``together`` of them."""
+    many = pairs.groupBy("a").agg(F.count("*").alias("k")).filter(F.col("k") > join.together)
+    salts = F.coalesce(F.ceil(F.col("k") / join.together), F.lit(1))
+    return pairs.join(many, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), salts).alias("salt"))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, join: Join, tasks: int) -> DataFrame:
     """The pairs (a, b) whose sets are linked, each found from whole texts.
 
     The text of ``a`` is sent once per salt, ahead of those of its partners.
     """
     ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    bodies = _bodies(docs, ends, join)
-    salted = pairs.select("a", "b", F.pmod(F.hash("b"), F.lit(salts)).alias("salt"))
+    bodies = _bodies(docs, ends, 2 * pairs.count(), join)
+    salted = _salted(pairs.select("a", "b"), join)
     partner = salted.join(bodies.select(F.col("set_id").alias("b"), "body"), "b").select("a", "salt", "b", "body")
     own = salted.select("a", "salt").distinct().join(bodies.select(F.col("set_id").alias("a"), "body"), "a")
     rows = own.select("a", "salt", F.lit(None).cast("long").alias("b"), "body").unionByName(partner)

@@ -380,6 +380,21 @@ def test_groups_against_all_pairs(spark, join):
     assert len({c for _, c in want.values()}) < len(rows) - 60
 
 
+def test_partners_of_a_head_are_dealt_by_their_number(spark):
+    pairs = spark.range(10_000).selectExpr("IF(id < 9000, 1, id) AS a", "id AS b")
+    salted = jaccard._salted(pairs, jaccard.Join())
+    per_task = salted.groupBy("a", "salt").agg(F.count("*").alias("n"))
+    assert salted.count() == 10_000 and salted.filter("a <> 1 AND salt <> 0").count() == 0
+    assert per_task.agg(F.max("n")).first()[0] < 3 * 64 and per_task.filter("a = 1").count() == -(-9000 // 64)
+
+
+def test_filter_follows_the_number_of_candidates(spark):
+    join = jaccard.Join()
+    assert [jaccard._filter_size(n, join) for n in (0, 10, 1 << 21, 1 << 22, 1 << 40)] == [
+        1 << 24, 1 << 24, 1 << 24, 1 << 25, 1 << 28,
+    ]
+
+
 def test_groups_of_odd_rows(spark):
     schema = "doc_id long, text string"
     assert jaccard.near_duplicates(spark.createDataFrame([], schema)).count() == 0
