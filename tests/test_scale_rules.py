@@ -2,13 +2,14 @@
 
 import random
 import statistics
+from datetime import date
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rxlake.functions.codes import normalize_code, register_sql_function
-from rxlake.functions.columns import exact_avg, exact_sum, exact_total
+from rxlake.functions.columns import exact, exact_avg, exact_part, exact_sum, exact_sum_of_parts, exact_total
 from rxlake.operators import analysis, gold, prices
 from rxlake.operators.keyed import exact_quantile
 from rxlake.plans import driver_tables
@@ -182,3 +183,45 @@ def test_price_report_reads_prices_once(spark, tmp_path):
     prices_ = spark.read.parquet(str(tmp_path / "prices"))
     analysis.price_by_pharmacy_type(prices_.coalesce(1).mapInArrow(noted, prices_.schema)).collect()
     assert len(list(read.iterdir())) == 1
+
+
+def test_fill_summary_hashes_and_counts_years_far_apart(spark):
+    shape = (
+        "beneficiary_id string, ndc string, total_rx_cost double, patient_pay_amount double, "
+        "payer_paid_amount double, days_supply int, service_date date, service_year int"
+    )
+    years = [1980, 2043, 2043, 2044, 1979, 1, 9999, 1979, None, 2000]
+    rows = [("a", f"n{i % 3}", 0.1, 1e6, None, 30, y and date(y, 1, 1), y) for i, y in enumerate(years)]
+    rows += [("b", None, 3e17, 0.3, 1.0, None, None, None), ("c", "n1", 0.0, 0.0, 0.0, 0, date(5, 1, 1), 5)]
+    summary = gold.patient_fill_summary(spark.createDataFrame(rows, shape))
+    got = {r.beneficiary_id: r for r in summary.collect()}
+    assert [got[k].active_years for k in "abc"] == [7, 0, 1]
+    assert [got[k].unique_drugs for k in "abc"] == [3, 0, 1]
+    assert [got[k].total_rx_fills for k in "abc"] == [10, 1, 1]
+    assert [got[k].total_rx_spend for k in "abc"] == [1.0, 3e17, 0.0]
+    assert got["a"].total_payer_paid is None and got["a"].total_patient_pay == 1e7
+    assert got["a"].avg_days_supply == 30.0 and got["b"].avg_days_supply is None and got["a"].total_days_supply == 300
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan
+
+
+def test_exact_sums_without_decimals_and_the_same(spark, ansi):
+    rng = random.Random(8)
+    odd = [0.0, 5e-11, 4.9e-11, 131072.33, 199999.99, 200000.01, -1048576.5, 9.99e17, -9.99e17, 1 / 3, None]
+    made = [rng.choice([round(v, 2), v, round(v, 2) - round(v / 3, 2)]) for m in (1, 1e4, 3e5, 1e9, 1e17) for v in [rng.uniform(-m, m) for _ in range(400)]]
+    df = spark.createDataFrame([(i % 300, v) for i, v in enumerate(odd + made)], "g int, x double")
+    both = df.groupBy("g").agg(exact_sum("x").alias("new"), exact_total(exact("x")).alias("old"))
+    assert both.filter("NOT (new <=> old)").count() == 0
+    parts = df.groupBy("g", F.rand(3) > 0.5).agg(exact_part("x").alias("p")).groupBy("g").agg(exact_sum_of_parts("p").alias("merged"))
+    assert both.join(parts, "g").filter("NOT (new <=> merged)").count() == 0
+    sums = df.groupBy("g").agg(exact_sum("x"))._jdf.queryExecution().sparkPlan().toString()
+    assert "sum(CASE" in sums and "partial_sum(decimal" not in sums and sums.count("try_sum(") > 0
+    for large in (1e18, float("nan"), float("-inf")):
+        with pytest.raises(PySparkException, match="too large for an exact sum"):
+            spark.createDataFrame([(large,)], "x double").agg(exact_part("x").alias("p")).agg(exact_sum_of_parts("p")).collect()
+
+
+def test_code_is_cleaned_once_per_row(spark):
+    """Patterns run for bare digits only, and the cleaning of a text is not repeated in the plan's code."""
+    df = spark.createDataFrame([("0002-1433-01",)], "raw string").repartition(1).select(normalize_code(F.col("raw")).alias("ndc"))
+    assert "regexp_replace" not in df._jdf.queryExecution().executedPlan().toString()
