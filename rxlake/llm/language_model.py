@@ -11,7 +11,7 @@ Tokens are words with A-Z in lower case, and an end after each text. From the tr
 
 Training learns to tell each token from noise drawn by frequency, shared within a minibatch, so it needs
 matrix products only and no normaliser. Every training document is learned from: in a round each task
-improves the model on its own documents, and the tasks' models are averaged by their tokens, some rows of
+improves the model on its own documents, in one pass at any size of the table, and the tasks' models are averaged by their tokens, some rows of
 the parameters at a time. Scoring does normalise: one matrix product per distinct pair of words before
 gives the sum over all classes.
 
@@ -51,8 +51,7 @@ class Settings:
     rate: float = 0.1
     rounds: int = 2
     block_tokens: int = 1 << 18
-    task_tokens: int = 1 << 20  # a task with fewer goes through them again ...
-    most_passes: int = 4  # ... this often at most
+    task_tokens: int = 1 << 20  # without effect: a round is one pass, whatever a task's size
     slices: int = 16  # of the parameters, averaged apart
     seed: int = 11
 
@@ -221,6 +220,20 @@ def contexts(classes: np.ndarray, offsets: np.ndarray, many: int, begin: int) ->
 # --- the model --------------------------------------------------------------------------------
 
 
+def _distinct(key: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray]:
+    """A row of each distinct key below ``many``, and which of them each row has; without sorting if there is room."""
+    if many > 1 << 22:
+        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        return first, inverse
+    row = np.arange(len(key), dtype=np.int32)
+    of = np.empty(many, np.int32)
+    of[key] = row  # one of a key's rows
+    chosen = of.take(key)
+    first = np.flatnonzero(chosen == row)
+    of[key.take(first)] = np.arange(len(first), dtype=np.int32)
+    return first, of.take(key)
+
+
 @dataclass
 class Model:
     """``words`` are vectors of classes before a token, ``places`` their weights by distance."""
@@ -237,19 +250,20 @@ class Model:
     def scores(self, predicted: np.ndarray) -> np.ndarray:
         return predicted @ self.classes.T + (self.bias + self.frequency)
 
-    def log_probabilities(self, before: np.ndarray, token: np.ndarray, rows: int = 4_096) -> np.ndarray:
+    def log_probabilities(self, before: np.ndarray, token: np.ndarray, rows: int = 256) -> np.ndarray:
         """Natural logarithms, normalised over all classes; equal contexts are worked out once."""
         key = before[:, 0]
         for k in range(1, before.shape[1]):
             key = key * len(self.words) + before[:, k]
-        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        first, inverse = _distinct(key, len(self.words) ** before.shape[1])
         predicted = self.predict(before[first])
         total = np.empty(len(first), np.float64)
         for at in range(0, len(first), rows):
             scores = self.scores(predicted[at : at + rows])
             top = scores.max(1, keepdims=True)
-            np.exp(scores - top, out=scores)
-            total[at : at + rows] = np.log(scores.sum(1, dtype=np.float64)) + top[:, 0]
+            scores -= top
+            np.exp(scores, out=scores)
+            total[at : at + rows] = np.log(scores.sum(1).astype(np.float64)) + top[:, 0]
         out = np.empty(len(token), np.float64)
         for at in range(0, len(token), 1 << 16):
             own, t = inverse[at : at + (1 << 16)], token[at : at + (1 << 16)]
@@ -274,11 +288,12 @@ def start(known: Vocabulary, settings: Settings = Settings()) -> Model:
     )
 
 
-def _add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+def _row_sums(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places that occur, in order, and the sums of their rows."""
     order = np.argsort(at.astype(np.uint16), kind="stable")  # classes are few; short integers sort by radix
     sorted_at = at[order]
     first = np.flatnonzero(np.concatenate([[True], sorted_at[1:] != sorted_at[:-1]]))
-    into[sorted_at[first]] += np.add.reduceat(rows[order], first, axis=0)
+    return sorted_at[first], np.add.reduceat(rows.take(order, 0), first, axis=0)
 
 
 def _odds(model: Model, predicted: np.ndarray, token: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -297,40 +312,58 @@ def likelihood(model: Model, before: np.ndarray, token: np.ndarray, noise: np.nd
     return -float(np.logaddexp(0, -true).sum() + np.logaddexp(0, false).sum())
 
 
-def gradients(model: Model, before: np.ndarray, token: np.ndarray, noise: np.ndarray) -> list[np.ndarray]:
-    """The gradients of the likelihood."""
+def _slopes(model: Model, before: np.ndarray, token: np.ndarray, noise: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The gradients of the likelihood, as rows of each parameter that are not all 0 and their values."""
     predicted = model.predict(before)
     true, g_false = _odds(model, predicted, token, noise)
-    g_true = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-    np.clip(g_false, -30, 30, out=g_false)
-    np.exp(np.negative(g_false, out=g_false), out=g_false)
+    # 1 / (1 + exp(x)) is (1 - tanh(x / 2)) / 2, which needs no bounds.
+    g_true = (1 - np.tanh(true / 2)) / 2
+    np.tanh(np.multiply(g_false, 0.5, out=g_false), out=g_false)
     g_false += 1
-    np.divide(-1, g_false, out=g_false)
-    d_words, d_places, d_classes, d_bias = (np.zeros_like(p) for p in model.parameters())
-    _add_rows(d_classes, token, g_true[:, None] * predicted)
-    _add_rows(d_classes, noise, g_false.T @ predicted)
-    d_bias += np.bincount(token, g_true, len(d_bias)).astype(d_bias.dtype)
-    d_bias += np.bincount(noise, g_false.sum(0), len(d_bias)).astype(d_bias.dtype)
-    back = g_true[:, None] * model.classes[token] + g_false @ model.classes[noise]
-    for k in range(before.shape[1]):
-        d_places[k] = (back * model.words[before[:, k]]).sum(0)
-        _add_rows(d_words, before[:, k], back * model.places[k])
-    return [d_words, d_places, d_classes, d_bias]
+    g_false *= -0.5
+    # The bias is one more column of a class's row, so tokens and noise are sorted and added up once.
+    many = len(token)
+    own = np.empty((many + len(noise), predicted.shape[1] + 1), predicted.dtype)
+    np.multiply(g_true[:, None], predicted, out=own[:many, :-1])
+    np.matmul(g_false.T, predicted, out=own[many:, :-1])
+    own[:many, -1], own[many:, -1] = g_true, g_false.sum(0)
+    classes, d_classes = _row_sums(np.concatenate([token, noise]), own)
+    back = g_true[:, None] * model.classes.take(token, 0) + g_false @ model.classes[noise]
+    distances = before.shape[1]
+    d_places = np.empty_like(model.places)
+    ahead = np.empty((distances, *back.shape), back.dtype)
+    for k in range(distances):
+        d_places[k] = np.einsum("ij,ij->j", back, model.words.take(before[:, k], 0))
+        np.multiply(back, model.places[k], out=ahead[k])
+    words_, d_words = _row_sums(before.T.ravel(), ahead.reshape(-1, back.shape[1]))
+    return [(words_, d_words), (np.arange(distances), d_places), (classes, d_classes[:, :-1]), (classes, d_classes[:, -1])]
+
+
+def gradients(model: Model, before: np.ndarray, token: np.ndarray, noise: np.ndarray) -> list[np.ndarray]:
+    """The gradients of the likelihood."""
+    whole = [np.zeros_like(p) for p in model.parameters()]
+    for gradient, (rows, values) in zip(whole, _slopes(model, before, token, noise)):
+        gradient[rows] = values
+    return whole
 
 
 def improve(model: Model, before: np.ndarray, token: np.ndarray, sums: list[np.ndarray], rng: np.random.Generator, settings: Settings) -> None:
-    """One pass over the tokens in random order; steps shrink with the squared gradients so far."""
+    """One pass over the tokens in random order; steps shrink with the squared gradients so far.
+
+    Only rows that a minibatch touches move, so only these are worked on.
+    """
     share = np.cumsum(np.exp(model.frequency, dtype=np.float64))
     order = rng.permutation(len(token))
     for at in range(0, len(order), settings.batch):
         some = order[at : at + settings.batch]
         drawn = np.searchsorted(share, rng.random(settings.noise) * share[-1], "right")
         noise = np.minimum(drawn, len(share) - 1)
-        steps = gradients(model, before[some], token[some], noise)
-        for parameter, step, squares in zip(model.parameters(), steps, sums):
-            step /= len(some)
-            squares += step * step
-            parameter += settings.rate * step / np.sqrt(squares + 1e-10)
+        steps = _slopes(model, before.take(some, 0), token.take(some), noise)
+        for parameter, (rows, step), squares in zip(model.parameters(), steps, sums):
+            step = step / np.float32(len(some))
+            seen = squares.take(rows, 0) + step * step
+            squares[rows] = seen
+            parameter[rows] += settings.rate * step / np.sqrt(seen + 1e-10)
 
 
 def train(encoded: DataFrame, known: Vocabulary, settings: Settings = Settings()) -> Model:
@@ -343,7 +376,6 @@ def train(encoded: DataFrame, known: Vocabulary, settings: Settings = Settings()
             rng = np.random.default_rng([settings.seed, round_, TaskContext.get().partitionId()])
             sums = [np.zeros_like(p) for p in model.parameters()]
             held, waiting, tokens = [], 0, 0
-            again: list[tuple] = []
 
             def block() -> tuple[np.ndarray, np.ndarray]:
                 classes, offsets = _blocks(pa.chunked_array(held).combine_chunks())
@@ -358,18 +390,12 @@ def train(encoded: DataFrame, known: Vocabulary, settings: Settings = Settings()
                         before, token = block()
                         improve(model, before, token, sums, rng, settings)
                         tokens += len(token)
-                        again = [*again, (before, token)] if tokens < settings.task_tokens else []
                         held, waiting = [], 0
             if held:
                 before, token = block()
                 improve(model, before, token, sums, rng, settings)
                 tokens += len(token)
-                again.append((before, token))
             if tokens:
-                passes = min(settings.most_passes, settings.task_tokens // tokens)
-                for _ in range(passes - 1):
-                    for before, token in again:
-                        improve(model, before, token, sums, rng, settings)
                 flat = np.concatenate([p.ravel() for p in model.parameters()])
                 parts = np.array_split(flat, settings.slices)
                 yield pa.RecordBatch.from_arrays(

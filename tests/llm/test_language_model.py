@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -141,3 +142,20 @@ def test_empty_table_and_nothing_to_learn_from(spark):
     got = language_model.score(spark.createDataFrame([(i, "never seen", "en", "x") for i in ids], DOCS), settings=SMALL).collect()
     assert [(r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in got] == [(True, 3, 0, 0)] * 3
     assert all(r.base_score == pytest.approx(0.0) and r.score < 0 for r in got)
+
+
+def test_learning_does_not_depend_on_the_size_of_a_task(spark, rows):
+    df = spark.createDataFrame(rows, DOCS).coalesce(1)
+    docs = df.select("doc_id", "text", language_model.held_out(df.doc_id).alias("held_out"))
+    known = language_model.vocabulary(language_model.count_words(docs.filter("NOT held_out").select("text")), SMALL)
+    encoded = language_model.encode(docs, known)
+    few, many = (language_model.train(encoded, known, replace(SMALL, task_tokens=n)) for n in (4_000, 1 << 20))
+    for a, b in zip(few.parameters(), many.parameters()):
+        assert np.array_equal(a, b)
+
+
+def test_distinct_keys_with_and_without_room():
+    key = np.random.default_rng(4).integers(0, 300, 1_000)
+    for many in (300, 1 << 40):
+        first, which = language_model._distinct(key, many)
+        assert len(first) == len(set(key)) and np.array_equal(key[first][which], key)
