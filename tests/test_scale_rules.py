@@ -12,7 +12,7 @@ from rxlake.functions.codes import normalize_code, register_sql_function
 from rxlake.functions.columns import exact, exact_avg, exact_part, exact_sum, exact_sum_of_parts, exact_total
 from rxlake.operators import analysis, gold, prices
 from rxlake.operators.keyed import exact_quantile
-from rxlake.plans import driver_tables
+from rxlake.plans import driver_tables, registry
 from rxlake.sources import scan_delimited, schemas
 
 
@@ -225,3 +225,23 @@ def test_code_is_cleaned_once_per_row(spark):
     """Patterns run for bare digits only, and the cleaning of a text is not repeated in the plan's code."""
     df = spark.createDataFrame([("0002-1433-01",)], "raw string").repartition(1).select(normalize_code(F.col("raw")).alias("ndc"))
     assert "regexp_replace" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_gold_inventory_writes_nothing_and_reads_no_amounts(spark):
+    """Fills, prices and utilization were written whole, and a quantile of all spending sought, to count rows."""
+    counted = registry.queries()["gold_inventory"](spark, "/root/testdata/sf0.001")
+    scans = counted._jdf.queryExecution().executedPlan().toString()
+    assert "rxlake-" not in scans and "l_shipdate" in scans
+    assert "l_extendedprice" not in scans and "l_discount" not in scans
+    assert counted.count() == 4
+
+
+def test_latest_price_with_ties_and_without_dates(spark):
+    shape = "ndc string, nadac_per_unit double, pricing_unit string, pharmacy_type string, rate_classification string, effective_date date"
+    old, new = date(2020, 1, 1), date(2021, 1, 1)
+    rows = [("a", 2.0, "EA", None, "B", new), ("a", 1.0, "ML", "A", "B", new), ("a", None, "ML", "A", "B", old), ("a", 0.5, "ML", "A", "B", None)]
+    rows += [("b", 3.0, "EA", "R", "G", None), ("b", None, None, None, None, None), ("c", 4.0, None, None, None, new), ("c", None, "EA", None, None, new)]
+    got = {r.ndc: r for r in gold.latest_price(spark.createDataFrame(rows, shape)).collect()}
+    assert (got["a"].nadac_per_unit, got["a"].pricing_unit, got["a"].nadac_effective_date) == (1.0, "ML", new)
+    assert got["b"].nadac_per_unit is None and got["b"].pharmacy_type is None
+    assert (got["c"].nadac_per_unit, got["c"].pricing_unit, got["c"].nadac_effective_date) == (None, "EA", new)
