@@ -245,3 +245,26 @@ def test_latest_price_with_ties_and_without_dates(spark):
     assert (got["a"].nadac_per_unit, got["a"].pricing_unit, got["a"].nadac_effective_date) == (1.0, "ML", new)
     assert got["b"].nadac_per_unit is None and got["b"].pharmacy_type is None
     assert (got["c"].nadac_per_unit, got["c"].pricing_unit, got["c"].nadac_effective_date) == (None, "EA", new)
+
+
+def test_price_scan_is_small_enough_to_be_compiled(spark):
+    """The JVM never compiles a method of more than 8,000 bytes of bytecode; this one had 8,038."""
+    inputs = driver_tables.Inputs(spark, "/root/testdata/sf0.001")
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (inputs.pricing(), inputs.anomaly_features(), gold.monthly_prices(inputs.pricing()), inputs.fills()):
+            stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+            assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_raw_code_in_every_format(spark):
+    rows = spark.range(123456784, 123456792).selectExpr("id", f"{driver_tables.raw_code('id')} AS raw").collect()
+    got = {r.id % 8: r.raw.replace(str(r.id)[-4:], "dddd") for r in rows}
+    assert got == {
+        0: "2345-dddd-01", 1: "23456-785-01", 2: "12345-dddd-1", 3: "  12345-dddd-01 ",
+        4: "12345dddd01", 5: "12345dddd1", 6: "12345dddd", 7: "UNK12345dddd",
+    }
