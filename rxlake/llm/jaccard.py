@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlake.llm.components import components
-from rxlake.llm.words import LOWER, chunks, give_back, mix
+from rxlake.llm.words import LOWER, ROWS_BYTES, chunks, give_back, mix
 from rxlake.sources.scratch import stored
 
 
@@ -101,7 +101,7 @@ _MOST = (1 << 31) - 1
 def row_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each row with its sorted distinct n-gram hashes."""
     factors = mix(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
-    for chunk in chunks(column, LOWER):
+    for chunk in chunks(column, LOWER, ROWS_BYTES):
         h = chunk.hashes()
         count = max(len(h) - words + 1, 0)
         grams = np.zeros(count, np.uint64)

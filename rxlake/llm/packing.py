@@ -16,6 +16,7 @@ Columns beyond id and text are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -53,6 +54,8 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str, remembered: int = 300_000, together: int = 100):
+        # A task has one core; the tokenizer's own threads would each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -79,15 +82,15 @@ class WordTokenizer:
     def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words, in their order, and n + 1 offsets."""
         letters = np.asarray(pc.match_substring_regex(words, r"^\p{Ll}+$"))
-        texts = words.to_pylist()
         flats, lengths = [], np.zeros(len(words), np.int64)
         order = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
         plain, at = int(letters.sum()), 0
         while at < len(order):
-            some = order[at : min(at + 20_000, plain if at < plain else len(order))]
-            found = self._encode_together([texts[i] for i in some]) if at < plain else None
+            some = order[at : min(at + 2_000, plain if at < plain else len(order))]
+            texts = words.take(pa.array(some)).to_pylist()
+            found = self._encode_together(texts) if at < plain else None
             if found is None:
-                each = self._encode_each([texts[i] for i in some])
+                each = self._encode_each(texts)
                 found = np.concatenate(each), np.cumsum([0, *map(len, each)])
             flats.append(found[0])
             lengths[some] = np.diff(found[1])
@@ -293,7 +296,7 @@ def pack(
                         block.flush(False)
                 if block.rows:
                     yield rows_of(block, id_type)
-            give_back()
+                give_back()
         block.flush(True)
         if block.rows:
             yield rows_of(block, id_type)

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxlake.llm.words import Chunk, chunks, give_back
+from rxlake.llm.words import ROWS_BYTES, Chunk, chunks, give_back
 
 STATISTICS = [
     "log_words", "log_bytes", "word_length", "long_word_share", "symbol_share", "bar_share",
@@ -162,7 +162,7 @@ def _entries(model: Model, chunk: Chunk, buckets: int) -> tuple[np.ndarray, np.n
 def score_column(model: Model, column: pa.Array, buckets: int) -> np.ndarray:
     """The score of every text of a column, from 0 to 1."""
     out = np.empty(len(column))
-    for chunk in chunks(column):
+    for chunk in chunks(column, size=ROWS_BYTES):
         raw = _raw(model, chunk.rows, *_entries(model, chunk, buckets))
         out[chunk.first : chunk.first + chunk.rows] = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
     return out
@@ -290,7 +290,9 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score", b
         for batch in batches:
             got = score_column(model, batch.column(batch.schema.get_field_index(text)), buckets)
             columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(got, pa.float64())], [*keep, out])
+            whole = pa.RecordBatch.from_arrays([*columns, pa.array(got, pa.float64())], [*keep, out])
+            for at in range(0, whole.num_rows, 500):  # the JVM holds one such part beside the batch it sends
+                yield whole.slice(at, 500)
         give_back()
 
     fields = df.select(*keep).schema.add(out, "double")

@@ -1,7 +1,7 @@
 """Words of whole Arrow batches of text as numpy arrays, without a Python loop over words.
 
 A word is a run of bytes other than space and 0x09-0x0D, as in ``[^\\x20\\x09-\\x0D]+``. Documents
-are handled in chunks of about a megabyte; a longer document is a chunk of its own, hashed piece by
+are handled in chunks of a megabyte at most; a longer document is a chunk of its own, hashed piece by
 piece, so memory follows the longest single text.
 """
 
@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+# For work row by row, whose results do not depend on where chunks end: arrays by byte or word stay small.
+ROWS_BYTES = 1 << 18
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -33,15 +35,17 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_POWER = _powers(_P, CHUNK_BYTES + 1)
-_INVERSE = _powers(_P_INVERSE, CHUNK_BYTES + 1)
+_KEPT: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base from 0 to n, at least, and of its inverse."""
-    if n <= CHUNK_BYTES:
-        return _POWER, _INVERSE
-    return _powers(_P, n + 1), _powers(_P_INVERSE, n + 1)
+    """Powers of the base from 0 to n, at least, and of its inverse; those of a chunk are kept until ``give_back``."""
+    if n > CHUNK_BYTES:
+        return _powers(_P, n + 1), _powers(_P_INVERSE, n + 1)
+    if not _KEPT or n >= len(_KEPT[0]):
+        size = min(1 << n.bit_length(), CHUNK_BYTES) + 1
+        _KEPT[:] = [_powers(_P, size), _powers(_P_INVERSE, size)]
+    return _KEPT[0], _KEPT[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -55,6 +59,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def give_back() -> None:
     """Return freed memory to the system, as Python workers stay for the tasks of later stages."""
+    _KEPT.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -107,12 +112,12 @@ class Chunk:
         return mix(out ^ (ends - starts).astype(np.uint64))
 
 
-def chunks(column: pa.Array, table: np.ndarray | None = None) -> Iterator[Chunk]:
-    """Cut a text column into chunks of whole rows, with bytes replaced by a table if there is one."""
+def chunks(column: pa.Array, table: np.ndarray | None = None, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
+    """Cut a text column into chunks of whole rows of about ``size`` bytes, with bytes replaced by a table if there is one."""
     data, offsets = utf8(column)
     n, row = len(offsets) - 1, 0
     while row < n:
-        to = max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK_BYTES, "right")) - 1)
+        to = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         part = data[offsets[row] : offsets[to]]
         own = offsets[row : to + 1] - offsets[row]
         if table is not None:
