@@ -151,3 +151,24 @@ def test_a_pair_over_many_partitions_with_one_shuffle(spark, monkeypatch):
     assert got == by_hand(rows)
     assert len(seen) == 1 and seen[0].count("Exchange") == seen[0].count("rangepartitioning") == 1
     assert len(hot) >= 6
+
+
+def test_fills_without_a_predecessor_are_not_stored_once_more(spark, monkeypatch):
+    rows = [fill(f"Q{i:04}", f"s{i}", 0, "A", 30) for i in range(900)] + random_fills(7, 60)
+    rows += [fill("Q0500", "again", 20, "A", 30), fill("Q0899", "last", 20, "A", 30)]
+    many = []
+
+    def kept(df, name):
+        found = stored(df, name)
+        many.append(found.count())
+        return found
+
+    monkeypatch.setattr(refills, "stored", kept)
+    got = {
+        r["pde_id"]: (r["prev_fill_date"], r["prev_days_supply"], r["fill_number"], r["days_between_fills"], r["refilled_on_time"])
+        for r in refill_sequences(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    }
+    wanted = by_hand(rows)
+    assert got == wanted
+    # A partition has its first pair's rows and a batch's last row besides.
+    assert len(many) == 1 and many[0] <= len(wanted) + 50
